@@ -36,26 +36,31 @@ def unique_visitors(pages: DataFrame) -> DataFrame:
     )
 
 
-def unique_visitors_stream(pages: DataFrame, delay: str = "1 day", salts: int = 8) -> DataFrame:
-    """Streaming form: the first entry page to *arrive* for each visitor and day.
+def unique_visitors_stream(pages: DataFrame, delay: str = "2 days") -> DataFrame:
+    """Streaming form, for output mode ``update``: emitted when a visitor's day is first seen.
 
-    State is kept per (visitor, day) and dropped once the watermark, trailing by
-    ``delay``, has passed the day.  A first round over ``salts`` sub-keys spreads a
-    hot visitor; the second round sees at most ``salts`` of its rows per day.
+    The row is the first of its group by time in the micro-batch that opens the
+    group; later batches find the group open and emit nothing.  A group's state is
+    dropped once the watermark, ``delay`` behind the latest day, has passed its day.
+    Partial aggregation leaves one row per task of a hot visitor's day.
     """
-    day = F.date_trunc("day", F.col("event_time"))
-    salted = (
+    now = F.current_timestamp()  # the same for all rows of a micro-batch, also when it is run again
+    first = (
         pages.where(is_entry_page())
-        .withColumn("_mid", F.col(MID))
-        .withColumn("_day", day)
-        .withColumn("_salt", F.pmod(F.xxhash64("event_id"), F.lit(salts)))
+        .select(
+            F.col(MID).alias("_mid"),
+            F.date_trunc("day", F.col("event_time")).alias("_day"),
+            F.struct("*").alias("_page"),
+            now.alias("_seen"),
+        )
         .withWatermark("_day", delay)
+        .groupBy("_mid", "_day")
+        .agg(
+            F.min_by("_page", F.struct("_page.ts", "_page.event_id")).alias("_page"),
+            F.min("_seen").alias("_opened"),
+        )
     )
-    return (
-        salted.dropDuplicates(["_mid", "_day", "_salt"])
-        .dropDuplicates(["_mid", "_day"])
-        .drop("_mid", "_day", "_salt")
-    )
+    return first.where(F.col("_opened") == now).select("_page.*")
 
 
 def bounces(pages: DataFrame, within_seconds: int = 10) -> DataFrame:

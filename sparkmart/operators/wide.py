@@ -6,6 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmart import schemas
 from sparkmart.functions import timeutil as tu
@@ -37,9 +38,12 @@ class Dimensions(NamedTuple):
     trademark: DataFrame
 
 
-def parse_facts(raw: DataFrame, schema, time: str = "create_time", value: str = "value") -> DataFrame:
-    """Fact text to typed rows plus ``create_ts``, the event time read from column ``time``."""
-    return parse_json(raw, schema, value).withColumn("create_ts", tu.text_to_timestamp(time))
+def parse_facts(raw: DataFrame, schema: T.StructType, time: str = "create_time", value: str = "value") -> DataFrame:
+    """Fact text to typed rows plus the event time read from text column ``time``.
+
+    The event time is ``create_ts``, or ``callback_ts`` if read from ``callback_time``.
+    """
+    return parse_json(raw, schema, value).withColumn(time.replace("_time", "_ts"), tu.text_to_timestamp(time))
 
 
 def order_detail_join(

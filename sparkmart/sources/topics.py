@@ -1,36 +1,41 @@
 """Topics: Kafka where it is available, folders of files otherwise.
 
-A folder topic holds parquet files with one text column ``value``, under
-``<root>/topic=<name>``; it is what the topic sink writes.
+Both have the same methods.  A topic carries text messages in a column
+``value``; rows to publish also say their ``topic``.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-VALUE = T.StructType([T.StructField("value", T.StringType(), True)])
+from sparkmart import schemas
+from sparkmart.sinks.batches import publish_batch
+from sparkmart.sources.files import make_dir
+
+VALUE = schemas.row(value=schemas.TEXT)
 
 
 @dataclass(frozen=True)
 class KafkaTopics:
     """Topics of a Kafka cluster.
 
-    Spark keeps its offsets in the checkpoint of the query; the group is only
-    a name the brokers show.
+    Spark keeps the offsets in the checkpoint of the query; the group is only a
+    name shown to the brokers.  Publishing is at least once.
     """
 
     servers: str
+    options: Mapping[str, str] = field(default_factory=dict)
 
-    def read_stream(self, spark: SparkSession, topic: str, group: str | None = None, **options: str) -> DataFrame:
+    def read_stream(self, spark: SparkSession, topic: str, group: str | None = None) -> DataFrame:
         reader = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", self.servers)
             .option("subscribe", topic)
-            .options(**options)
+            .options(**self.options)
         )
         if group:
             reader = reader.option("groupIdPrefix", group)
@@ -40,26 +45,42 @@ class KafkaTopics:
         reader = spark.read.format("kafka").option("kafka.bootstrap.servers", self.servers)
         return reader.option("subscribe", topic).load().select(F.col("value").cast("string").alias("value"))
 
+    def publish(self, messages: DataFrame, producer: str, batch_id: int) -> None:
+        writer = messages.select("topic", "value").write.format("kafka")
+        writer.option("kafka.bootstrap.servers", self.servers).save()
+
 
 @dataclass(frozen=True)
 class FolderTopics:
-    """Topics kept as folders in shared storage."""
+    """Topics kept as folders in shared storage, exactly once.
+
+    A producing job owns ``<root>/<producer>`` and may write several topics into
+    it.  ``producers`` names the producer of each topic that is not its own.  The
+    files of a batch are in no time order, so a reader takes whole batches: there
+    is no limit of files per trigger, which would make rows late that are not.
+    """
 
     root: str
+    producers: Mapping[str, str] = field(default_factory=dict)
+
+    def folder(self, topic: str) -> str:
+        return f"{self.root}/{self.producers.get(topic, topic)}"
 
-    def path(self, topic: str) -> str:
-        return f"{self.root}/topic={topic}"
+    def _messages(self, reader, topic: str) -> DataFrame:
+        schema = schemas.row(value=schemas.TEXT, batch=schemas.LONG, topic=schemas.TEXT)
+        rows = reader.schema(schema).parquet(self.folder(topic))
+        return rows.where(F.col("topic") == topic).select("value")
 
-    def read_stream(
-        self, spark: SparkSession, topic: str, group: str | None = None, max_files: int | None = None
-    ) -> DataFrame:
-        reader = spark.readStream.schema(VALUE)
-        if max_files:
-            reader = reader.option("maxFilesPerTrigger", max_files)
-        return reader.parquet(self.path(topic))
+    def read_stream(self, spark: SparkSession, topic: str, group: str | None = None) -> DataFrame:
+        make_dir(spark, self.folder(topic))
+        return self._messages(spark.readStream, topic)
 
     def read(self, spark: SparkSession, topic: str) -> DataFrame:
-        return spark.read.schema(VALUE).parquet(self.path(topic))
+        make_dir(spark, self.folder(topic))
+        return self._messages(spark.read, topic)
+
+    def publish(self, messages: DataFrame, producer: str, batch_id: int) -> None:
+        publish_batch(messages.select("topic", "value"), f"{self.root}/{producer}", batch_id, ["topic"])
 
 
 Topics = KafkaTopics | FolderTopics
