@@ -52,6 +52,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
     return spark
 
 
+_made: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, taken from ``spark.checkpoint.dir``.
 
@@ -63,6 +66,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="sparkmart-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    application = spark.sparkContext.applicationId
+    if application not in _made:
+        _made[application] = tempfile.mkdtemp(prefix="sparkmart-")
+    return _made[application]

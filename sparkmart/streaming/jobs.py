@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sparkmart import schemas
 from sparkmart.functions.jsonutil import CORRUPT, split_corrupt, to_json_text
 from sparkmart.operators import logs, measures, routing, stats, visitors, wide
+from sparkmart.session import shared_dir
 from sparkmart.sinks.batches import publish_batch, read_batches
 from sparkmart.sinks.dims import DimTables
 from sparkmart.sinks.writers import FolderStats, StatsSink, landing_writer
@@ -79,12 +80,13 @@ PRODUCERS = dict.fromkeys([logs.PAGE_TOPIC, logs.START_TOPIC, logs.DISPLAY_TOPIC
 class Warehouse:
     """Where the jobs read and write.
 
-    ``root`` is a folder shared by all executors; checkpoints, tables and, without
-    Kafka, the topics are below it.  ``trigger`` goes to ``writeStream.trigger``.
+    ``root`` is a folder shared by all executors, by default one in
+    ``spark.checkpoint.dir``; checkpoints, tables and, without Kafka, the topics are
+    below it.  ``trigger`` goes to ``writeStream.trigger``.
     """
 
     spark: SparkSession
-    root: str
+    root: str | None = None
     topics: Topics | None = None
     stats: StatsSink | None = None
     trigger: dict = field(default_factory=lambda: {"processingTime": "5 seconds"})
@@ -92,6 +94,8 @@ class Warehouse:
     salts: int = 4
 
     def __post_init__(self):
+        if self.root is None:
+            object.__setattr__(self, "root", f"{shared_dir(self.spark)}/warehouse")
         if self.topics is None:
             object.__setattr__(self, "topics", FolderTopics(f"{self.root}/topics", PRODUCERS))
         if self.stats is None:
