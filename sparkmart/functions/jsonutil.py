@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +22,17 @@ def _as_text(dtype: T.DataType) -> T.DataType:
     return T.StringType()
 
 
-def parse_json(df: DataFrame, schema: T.StructType, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
+def evaluate_once(df: DataFrame, struct: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """``keep`` plus the fields of ``struct``, which is computed a single time per row.
+
+    Filters over a projection are moved below it and repeat its expressions, which
+    for a JSON parse costs more than all the rest.  They are not moved below a
+    generator, so the struct is passed through one.
+    """
+    return df.select(*keep, F.inline(F.array(struct)))
+
+
+def parse_json(df: DataFrame, schema: T.StructType, value: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Parse a JSON text column into typed columns plus ``_corrupt_record``.
 
     Numbers may be written plain or quoted, as change records often quote them:
@@ -31,7 +43,7 @@ def parse_json(df: DataFrame, schema: T.StructType, value: str = "value", keep:
     text = T.StructType(_as_text(schema).fields + [T.StructField(CORRUPT, T.StringType(), True)])
     typed = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
     parsed = F.from_json(F.col(value), text, {"columnNameOfCorruptRecord": CORRUPT})
-    return df.select(*keep, parsed.try_cast(typed).alias("_json")).select(*keep, "_json.*")
+    return evaluate_once(df, parsed.try_cast(typed), keep)
 
 
 def split_corrupt(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:

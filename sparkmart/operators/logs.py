@@ -97,6 +97,12 @@ def page_logs(logs: DataFrame) -> DataFrame:
     return logs.where(~is_start())
 
 
+def visit_columns(pages: DataFrame) -> DataFrame:
+    """Only what visitor statistics read, so that nothing else is shuffled."""
+    page = F.struct("page.page_id", "page.last_page_id", "page.during_time").alias("page")
+    return pages.select("common", page, "ts", "event_id", "event_time")
+
+
 def explode_displays(pages: DataFrame) -> DataFrame:
     """One row per display of a page log, with the page's id and time."""
     return pages.select(F.explode("displays").alias("d"), F.col("page.page_id"), "ts", "event_id").select(

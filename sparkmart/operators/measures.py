@@ -70,24 +70,29 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
 # Product measures ----------------------------------------------------------
 
 
-def _product_row(df: DataFrame, sku: Column, time: Column, **given: Column) -> DataFrame:
-    """Measures not given are 0, ids not given are null; a null amount counts 0."""
-    measures = [
-        F.coalesce(given[m].cast(t), F.lit(0).cast(t)).alias(m) if m in given else F.lit(0).cast(t).alias(m)
-        for m, t in PRODUCT_MEASURES.items()
-    ]
-    ids = [given.get(i, F.lit(None)).cast("long").alias(i) for i in PRODUCT_IDS]
-    return df.select(time.alias("event_time"), sku.cast("long").alias("sku_id"), *measures, *ids)
+def _product_row(df: DataFrame, sku: str, time: str, **given: str) -> DataFrame:
+    """Measures not given are 0, ids not given are null; a null amount counts 0.
+
+    All arguments are SQL expressions.
+    """
+
+    def zeroed(name: str, dtype: str) -> str:
+        value = f"coalesce(cast({given[name]} AS {dtype}), 0)" if name in given else "0"
+        return f"cast({value} AS {dtype}) AS {name}"
+
+    measures = [zeroed(name, dtype.simpleString()) for name, dtype in PRODUCT_MEASURES.items()]
+    ids = [f"cast({given.get(i, 'NULL')} AS bigint) AS {i}" for i in PRODUCT_IDS]
+    return df.selectExpr(f"{time} AS event_time", f"cast({sku} AS bigint) AS sku_id", *measures, *ids)
 
 
 def clicks(pages: DataFrame) -> DataFrame:
     opened = pages.where(F.col("page.page_id") == PRODUCT_PAGE)
-    return _product_row(opened, F.col("page.item").try_cast("long"), F.col("event_time"), click_ct=F.lit(1))
+    return _product_row(opened, "try_cast(page.item AS bigint)", "event_time", click_ct="1")
 
 
 def displays(pages: DataFrame) -> DataFrame:
     shown = pages.select("event_time", F.explode("displays").alias("d")).where(F.col("d.item_type") == PRODUCT_ITEM)
-    return _product_row(shown, F.col("d.item").try_cast("long"), F.col("event_time"), display_ct=F.lit(1))
+    return _product_row(shown, "try_cast(d.item AS bigint)", "event_time", display_ct="1")
 
 
 def page_actions(pages: DataFrame) -> DataFrame:
@@ -104,53 +109,41 @@ def page_actions(pages: DataFrame) -> DataFrame:
     nothing = F.array().cast(action)
     acts = F.concat(F.coalesce(clicked.cast(action), nothing), F.coalesce(shown.cast(action), nothing))
     rows = pages.select("event_time", F.inline(acts))
-    return _product_row(
-        rows, F.col("item").try_cast("long"), F.col("event_time"), click_ct=F.col("click"), display_ct=F.col("display")
-    )
+    return _product_row(rows, "try_cast(item AS bigint)", "event_time", click_ct="click", display_ct="display")
 
 
 def favors(facts: DataFrame) -> DataFrame:
-    return _product_row(facts, F.col("sku_id"), F.col("create_ts"), favor_ct=F.lit(1))
+    return _product_row(facts, "sku_id", "create_ts", favor_ct="1")
 
 
 def carts(facts: DataFrame) -> DataFrame:
-    return _product_row(facts, F.col("sku_id"), F.col("create_ts"), cart_ct=F.lit(1))
+    return _product_row(facts, "sku_id", "create_ts", cart_ct="1")
 
 
 def ordered(order_wide: DataFrame) -> DataFrame:
     return _product_row(
         order_wide,
-        F.col("sku_id"),
-        F.col("create_ts"),
-        order_sku_num=F.col("sku_num"),
-        order_amount=F.col("split_total_amount"),
-        order_id=F.col("order_id"),
+        "sku_id",
+        "create_ts",
+        order_sku_num="sku_num",
+        order_amount="split_total_amount",
+        order_id="order_id",
     )
 
 
 def paid(payment_wide: DataFrame) -> DataFrame:
     return _product_row(
-        payment_wide,
-        F.col("sku_id"),
-        F.col("callback_ts"),
-        payment_amount=F.col("split_total_amount"),
-        paid_order_id=F.col("order_id"),
+        payment_wide, "sku_id", "callback_ts", payment_amount="split_total_amount", paid_order_id="order_id"
     )
 
 
 def refunds(facts: DataFrame) -> DataFrame:
-    return _product_row(
-        facts,
-        F.col("sku_id"),
-        F.col("create_ts"),
-        refund_amount=F.col("refund_amount"),
-        refund_order_id=F.col("order_id"),
-    )
+    return _product_row(facts, "sku_id", "create_ts", refund_amount="refund_amount", refund_order_id="order_id")
 
 
 def comments(facts: DataFrame) -> DataFrame:
-    good = F.when(F.col("appraise") == GOOD_APPRAISAL, 1).otherwise(0)
-    return _product_row(facts, F.col("sku_id"), F.col("create_ts"), comment_ct=F.lit(1), good_comment_ct=good)
+    good = f"CASE WHEN appraise = '{GOOD_APPRAISAL}' THEN 1 ELSE 0 END"
+    return _product_row(facts, "sku_id", "create_ts", comment_ct="1", good_comment_ct=good)
 
 
 def visitor_union(pages: DataFrame, visits: DataFrame, bounced: DataFrame, watermark: str | None = None) -> DataFrame:

@@ -20,7 +20,8 @@ DEFAULT_PK = "id"
 def clean(records: DataFrame) -> DataFrame:
     """Keep records that name a table and carry data: more than an empty JSON object."""
     named = F.length("table") > 0
-    return records.where(named & F.col("data").isNotNull() & (F.length("data_text") > 3))
+    data = F.col("data_text")
+    return records.where(named & data.startswith("{") & (F.length(data) > 3))
 
 
 def normalise_type(records: DataFrame) -> DataFrame:

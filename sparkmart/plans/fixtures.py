@@ -6,6 +6,8 @@ The amounts, ids and texts chosen here have no meaning of their own.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,19 +17,40 @@ from sparkmart.functions import timeutil as tu
 from sparkmart.functions.jsonutil import to_json_text
 from sparkmart.operators.wide import Dimensions
 from sparkmart.schemas import AMOUNT
+from sparkmart.sources.tables import balanced, read_table
 
 AS_OF = "2024-01-01"
 
 
+# Schemas of the benchmark tables, and the keys that spread the larger ones.
+TABLES = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": """o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,
+        o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING""",
+    "lineitem": """l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,
+        l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING,
+        l_shipdate TIMESTAMP_NTZ""",
+    "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING""",
+}
+SPREAD_BY = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
+
+
 class Fixtures:
     """Warehouse inputs over one folder of benchmark tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            df = read_table(self.spark, f"{self.folder}/{name}.parquet", TABLES[name])
+            self._tables[name] = balanced(df, SPREAD_BY[name]) if name in SPREAD_BY else df
+        return self._tables[name]
 
     # Logs ------------------------------------------------------------------
 
@@ -37,9 +60,12 @@ class Fixtures:
             "event_id", F.col("ts").cast("timestamp").alias("event_time"), "user_id", "event_type", "value", k.alias("k")
         )
 
-    def _sku_of_user(self, shift: Column | int = 0) -> Column:
-        parts = self.table("part").select(F.count(F.lit(1))).scalar()
-        return F.pmod(F.col("user_id") + shift, parts)
+    @cached_property
+    def parts(self) -> int:
+        return self.table("part").count()
+
+    def _sku_of_user(self, shift: int = 0) -> Column:
+        return F.pmod(F.col("user_id") + shift, F.lit(self.parts))
 
     def logs(self) -> DataFrame:
         """Typed logs, as ``decode_logs`` returns them."""

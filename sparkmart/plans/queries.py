@@ -59,7 +59,7 @@ def _as_of():
 
 
 def _pages(fx: Fixtures) -> DataFrame:
-    return logs.page_logs(logs.repair_new_visitors(fx.logs()))
+    return logs.visit_columns(logs.page_logs(logs.repair_new_visitors(fx.logs())))
 
 
 def _joined(fx: Fixtures) -> DataFrame:
@@ -310,7 +310,7 @@ def pattern_match(fx: Fixtures) -> DataFrame:
     """Entry pages followed by a product page within the limit, with the time between."""
     opened = F.col("page.page_id") == measures.PRODUCT_PAGE
     pairs = patterns.followed_by(
-        logs.page_logs(fx.logs()), visitors.MID, visitors.is_entry_page(), opened, BOUNCE_SECONDS, patterns.MATCHED
+        logs.visit_columns(logs.page_logs(fx.logs())), visitors.MID, visitors.is_entry_page(), opened, BOUNCE_SECONDS, patterns.MATCHED
     )
     return pairs.select(
         "event_id", F.col("next.event_id").alias("next_event_id"), (F.col("next.ts") - F.col("ts")).alias("gap_ms")

@@ -42,6 +42,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         .appName("sparkmart")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Recording the Python line of every column costs more than building it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )

@@ -12,8 +12,20 @@ from sparkmart.sources.cdc import latest_per_key
 DEFAULT_KEY = "id"
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """A parquet table; a given ``schema`` (DDL) saves the job that would read it from a file."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+
+
+def balanced(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan by ``keys`` if it has fewer tasks than the cluster has cores.
+
+    One row group is read by one task, which would then do all work up to the next
+    shuffle.  A table of many row groups has its tasks already and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if tasks >= cores else df.repartition(cores, *keys)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
