@@ -152,8 +152,8 @@ def visitor_union(pages: DataFrame, visits: DataFrame, bounced: DataFrame, water
     With ``watermark`` each branch gets its own before the union: bounces arrive
     later than their pages, and the slowest branch must hold the time back.
     """
-    branches = [page_measures(pages), unique_visit_measures(visits), bounce_measures(bounced)]
-    return union_all(_watermarked(branches, watermark))
+    pages, visits, bounced = (_watermarked(df, "event_time", watermark) for df in (pages, visits, bounced))
+    return union_all([page_measures(pages), unique_visit_measures(visits), bounce_measures(bounced)])
 
 
 def product_union(
@@ -166,20 +166,23 @@ def product_union(
     comment: DataFrame,
     watermark: str | None = None,
 ) -> DataFrame:
-    """The seven product streams as one; see :func:`visitor_union` for ``watermark``."""
-    branches = [
-        page_actions(pages),
-        favors(favor),
-        carts(cart),
-        ordered(order_wide),
-        paid(payment_wide),
-        refunds(refund),
-        comments(comment),
-    ]
-    return union_all(_watermarked(branches, watermark))
-
-
-def _watermarked(branches: list[DataFrame], watermark: str | None) -> list[DataFrame]:
-    if watermark is None:
-        return branches
-    return [b.withWatermark("event_time", watermark) for b in branches]
+    """The seven product streams as one; see :func:`visitor_union` for ``watermark``.
+
+    It is set on the facts, not on the measures, so that a page without any
+    product action still moves the time on.
+    """
+    return union_all(
+        [
+            page_actions(_watermarked(pages, "event_time", watermark)),
+            favors(_watermarked(favor, "create_ts", watermark)),
+            carts(_watermarked(cart, "create_ts", watermark)),
+            ordered(_watermarked(order_wide, "create_ts", watermark)),
+            paid(_watermarked(payment_wide, "callback_ts", watermark)),
+            refunds(_watermarked(refund, "create_ts", watermark)),
+            comments(_watermarked(comment, "create_ts", watermark)),
+        ]
+    )
+
+
+def _watermarked(df: DataFrame, time: str, watermark: str | None) -> DataFrame:
+    return df if watermark is None else df.withWatermark(time, watermark)

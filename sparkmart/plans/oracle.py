@@ -292,9 +292,10 @@ SELECTS = {
     ),
     "dim_upsert": (
         [],
-        """SELECT id, name, segment, seq FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM (
-             SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment, -1 AS seq FROM customer
-             UNION ALL SELECT CAST(o_custkey AS VARCHAR), 'name ' || o_orderkey, NULL, o_orderkey FROM orders)) WHERE rn = 1""",
+        """SELECT id, name, segment FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY batch DESC, seq DESC) AS rn FROM (
+             SELECT 0 AS batch, c_custkey AS seq, CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment FROM customer
+             UNION ALL SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END, o_orderkey, CAST(o_custkey AS VARCHAR),
+               'name ' || o_orderkey, NULL FROM orders)) WHERE rn = 1""",
     ),
     "new_visitor_repair": (["repaired"], "SELECT event_id, mid, is_new FROM repaired"),
     "log_split": (
@@ -415,6 +416,16 @@ SELECTS = {
 }
 
 
+SELECTS["stream_log_split"] = (
+    ["shown"],
+    """SELECT CASE WHEN is_start THEN 'dwd_start_log' ELSE 'dwd_page_log' END AS topic, ts_ms AS ts, is_new,
+       CAST(NULL AS VARCHAR) AS item FROM repaired UNION ALL SELECT 'dwd_display_log', ts_ms, NULL, item FROM shown""",
+)
+# The streaming replays give what the batch queries give.
+for _name in ("unique_visitors", "user_bounce", "visitor_stats", "order_wide", "payment_wide", "product_stats_wide"):
+    SELECTS[f"stream_{_name}"] = SELECTS[_name]
+
+
 def _needed(names: list[str], found: list[str]) -> list[str]:
     for name in names:
         if name not in found:

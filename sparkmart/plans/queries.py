@@ -6,9 +6,10 @@ are sparser than live traffic; they are constants here and in ``oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +19,8 @@ from sparkmart.functions.codes import decode_code
 from sparkmart.functions.jsonutil import CORRUPT, to_json_text
 from sparkmart.operators import joins, logs, measures, patterns, routing, stats, visitors, wide
 from sparkmart.plans.fixtures import AS_OF, Fixtures
-from sparkmart.session import configure
+from sparkmart.session import configure, shared_dir
+from sparkmart.sinks.dims import DimTables
 from sparkmart.sources import cdc, tables
 
 BOUNCE_SECONDS = 3600
@@ -248,20 +250,28 @@ def fact_payloads(fx: Fixtures) -> DataFrame:
 
 @query
 def dim_upsert(fx: Fixtures) -> DataFrame:
-    """Customers as the stored dimension, order changes upserted into it by customer."""
-    stored = fx.table("customer").select(
-        F.col("c_custkey").cast("string").alias("id"),
-        F.col("c_name").alias("name"),
-        F.col("c_mktsegment").alias("segment"),
-        F.lit(-1).cast("long").alias("seq"),
-    )
-    changes = fx.table("orders").select(
-        F.col("o_custkey").cast("string").alias("id"),
-        F.concat(F.lit("name "), F.col("o_orderkey")).alias("name"),
-        F.lit(None).cast("string").alias("segment"),
-        F.col("o_orderkey").alias("seq"),
-    )
-    return cdc.current_table(stored, changes, ["id"], ["seq"])
+    """A stored dimension: customers, then two batches of order changes by customer, compacted in between."""
+    dims = DimTables(fx.spark, f"{shared_dir(fx.spark)}/{uuid.uuid4().hex}")
+    dims.create("customer", "id,name,segment")
+
+    def rows(df: DataFrame, seq: str, kind: str, **data: Column) -> DataFrame:
+        entries = [x for name, value in data.items() for x in (F.lit(name), value)]
+        return df.select(
+            F.col(seq).cast("long").alias("seq"),
+            F.lit("customer").alias("sink_table"),
+            data["id"].alias("pk"),
+            F.lit(kind).alias("type"),
+            F.create_map(*entries).alias("data"),
+        )
+
+    customer = {"name": F.col("c_name"), "segment": F.col("c_mktsegment")}
+    dims.upsert(rows(fx.table("customer"), "c_custkey", "insert", id=F.col("c_custkey").cast("string"), **customer), 0)
+    order = {"id": F.col("o_custkey").cast("string"), "name": F.concat(F.lit("name "), F.col("o_orderkey"))}
+    finished = F.col("o_orderstatus") == "F"
+    dims.upsert(rows(fx.table("orders").where(finished), "o_orderkey", "update", **order), 1)
+    dims.compact("customer")
+    dims.upsert(rows(fx.table("orders").where(~finished), "o_orderkey", "update", **order), 2)
+    return dims.read("customer")
 
 
 # Logs ------------------------------------------------------------------------

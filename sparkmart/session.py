@@ -35,6 +35,19 @@ def configure(spark: SparkSession, time_zone: str = "UTC") -> SparkSession:
     return spark
 
 
+def streaming_session(spark: SparkSession) -> SparkSession:
+    """A session of the same application for streaming queries.
+
+    The number of shuffle partitions becomes the number of state partitions for
+    the life of a query, so it follows the cores rather than the default of 200.
+    """
+    session = configure(spark.newSession())
+    for key, value in STREAMING_CONF.items():
+        session.conf.set(key, value)
+    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return session
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A small local session, as used by the tests and the benchmark."""
     builder = (
