@@ -29,23 +29,31 @@ def timed_out(
     the watermark has passed the end of the slice after its own.
     """
     names = df.columns
-    limit = F.expr(f"INTERVAL {int(within_seconds)} SECONDS")
+    seconds = int(within_seconds)
+    limit = F.expr(f"INTERVAL {seconds} SECONDS")
+    events = df.select(
+        "*",
+        (F.col(key) if isinstance(key, str) else key).alias("_key"),
+        F.coalesce(first, F.lit(False)).alias("_first"),
+        F.window(time, f"{2 * seconds} seconds", f"{seconds} seconds").alias("_slice"),
+    )
+    # An event is in its own slice in the first half of a window and the next slice's
+    # in the second half.  Only a first event can come out, so only it carries its row.
     own = F.col(time) < F.col("_slice.start") + limit
+    next_slice = F.col(time) >= F.col("_slice.end") - limit
     slices = (
-        df.select(
-            "*",
-            (F.col(key) if isinstance(key, str) else key).alias("_key"),
-            F.coalesce(first, F.lit(False)).alias("_first"),
-            F.window(time, f"{2 * int(within_seconds)} seconds", f"{int(within_seconds)} seconds").alias("_slice"),
+        events.select(
+            "_key",
+            "_slice",
+            F.when(F.col("_first"), F.struct(*names)).alias("_row"),
+            F.when(own, F.struct(time, tie)).alias("_at"),
+            F.when(next_slice, F.col(time)).alias("_later"),
         )
         .groupBy("_key", "_slice")
-        .agg(
-            F.max_by(F.struct(*names, "_first"), F.when(own, F.struct(time, tie))).alias("_last"),
-            F.min(F.when(~own, F.col(time))).alias("_next_time"),
-        )
+        .agg(F.max_by("_row", "_at").alias("_last"), F.min("_later").alias("_next_time"))
     )
     alone = F.col("_next_time").isNull() | (F.col("_next_time") - F.col(f"_last.{time}") >= limit)
-    return slices.where(F.col("_last._first") & alone).select(*[F.col(f"_last.`{n}`").alias(n) for n in names])
+    return slices.where(F.col("_last").isNotNull() & alone).select("_last.*")
 
 
 def matched(

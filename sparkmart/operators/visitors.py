@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkmart.functions import timeutil as tu
 from sparkmart.operators.patterns import followed_by
+from sparkmart.sources.cdc import first_row_per_key
 
 MID = "common.mid"
 
@@ -27,13 +28,8 @@ def unique_visitors(pages: DataFrame) -> DataFrame:
     Only the first row of a group is kept, so Spark applies the limit before the
     shuffle too and a hot visitor costs one row per task and day.
     """
-    per_day = Window.partitionBy(MID, tu.ms_to_date("ts")).orderBy("ts", "event_id")
-    return (
-        pages.where(is_entry_page())
-        .withColumn("_rank", F.row_number().over(per_day))
-        .where(F.col("_rank") == 1)
-        .drop("_rank")
-    )
+    per_day = [F.col(MID), tu.ms_to_date("ts")]
+    return first_row_per_key(pages.where(is_entry_page()), per_day, [F.col("ts"), F.col("event_id")])
 
 
 def unique_visitors_stream(pages: DataFrame, delay: str = "2 days") -> DataFrame:

@@ -13,10 +13,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart import schemas
+from sparkmart.operators.joins import bounded_broadcast
 from sparkmart.operators.routing import dim_schema
 from sparkmart.sinks.batches import BATCH, last_batch, publish_batch, read_batches
 from sparkmart.sources.cdc import current_table
@@ -26,6 +27,9 @@ CHANGES = schemas.row(
     seq=schemas.LONG, pk=schemas.TEXT, type=schemas.TEXT, data=schemas.TEXT_MAP, sink_table=schemas.TEXT
 )
 
+# Keys are short text: a million of them take some tens of megabytes.
+MAX_BROADCAST_KEYS = 1_000_000
+
 
 class DimTables:
     def __init__(self, spark: SparkSession, root: str):
@@ -51,26 +55,41 @@ class DimTables:
         changes = rows.where(F.col("pk").isNotNull()).select(*CHANGES.names)
         return publish_batch(changes, f"{self.root}/changes", batch_id, ["sink_table"])
 
-    def read(self, table: str, pk: str = "id", columns: Sequence[str] = (), apply_deletes: bool = False) -> DataFrame:
+    def read(
+        self,
+        table: str,
+        pk: str = "id",
+        columns: Sequence[str] = (),
+        apply_deletes: bool = False,
+        keys: DataFrame | None = None,
+    ) -> DataFrame:
         """The table's current rows as text columns.
 
         A deleted row stays, with its last image, unless ``apply_deletes``.
-        ``columns`` is needed only for a table that was never created.
+        ``columns`` is needed only for a table that was never created.  ``keys`` is
+        one column of key values: only their rows are read, so that a small batch
+        does not sort a large table.
         """
         upto = last_batch(self.spark, self._snapshots(table))
         order = [BATCH, "_seq"]
+        wanted = None if keys is None else bounded_broadcast(keys.toDF("_wanted").distinct(), MAX_BROADCAST_KEYS)[0]
+
+        def only_wanted(rows: DataFrame, key: Column) -> DataFrame:
+            return rows if wanted is None else rows.join(wanted, key == F.col("_wanted"), "left_semi")
+
         snapshot = None
         if upto is not None:
             path = f"{self._snapshots(table)}/{BATCH}={upto}"
-            snapshot = self.spark.read.parquet(path).select(
+            stored = self.spark.read.parquet(path)
+            columns = stored.columns
+            snapshot = only_wanted(stored, F.col(pk)).select(
                 "*",
                 F.lit(upto).cast("long").alias(BATCH),
                 F.lit(-1).cast("long").alias("_seq"),
                 F.lit("snapshot").alias("_type"),
             )
-            columns = [c for c in snapshot.columns if c not in (BATCH, "_seq", "_type")]
         rows = read_batches(self.spark, f"{self.root}/changes", CHANGES, after=upto).where(F.col("sink_table") == table)
-        changes = rows.select(
+        changes = only_wanted(rows, F.col("pk")).select(
             *[F.col("data")[c].alias(c) for c in columns],
             BATCH,
             F.col("seq").alias("_seq"),

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.sources.cdc import latest_per_key
+from sparkmart.sources.cdc import first_row_per_key
 
 DEFAULT_KEY = "id"
 
@@ -50,4 +50,4 @@ def first_per_key(dim: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
 
     Gives a raw table the one-row-per-key form that dimension joins expect.
     """
-    return latest_per_key(dim, keys, [-F.col(o) for o in order])
+    return first_row_per_key(dim, keys, [F.col(o).asc() for o in order])

@@ -8,7 +8,8 @@ and tables, so each declares its own watermark.  Every layer of the warehouse
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,6 +69,9 @@ DIM_COLUMNS = {
     "trademark": ["id", "tm_name"],
 }
 
+# Keys of the dimensions that have as many rows as there are users and goods.
+LARGE_DIM_KEYS = {"user_id", "sku_id"}
+
 LOG_JOB = "base_log"
 DB_JOB = "base_db"
 # Topics written by a job that writes several.
@@ -148,17 +152,29 @@ class Warehouse:
 
         return self.start(job, stream, write, mode)
 
-    def dimensions(self) -> wide.Dimensions:
-        """The dimension tables as they are now, typed."""
+    def dimensions(self, batch: DataFrame) -> wide.Dimensions:
+        """The dimension tables as they are now, typed, as far as ``batch`` refers to users and skus."""
 
         def table(name: str) -> DataFrame:
-            columns = DIM_COLUMNS[name]
-            rows = self.dims.read(DIM_TABLES[name], "id", columns)
+            columns, key, keys = DIM_COLUMNS[name], f"{name}_id", None
+            if key in LARGE_DIM_KEYS and key in batch.columns:
+                keys = batch.select(F.col(key).cast("string"))
+            rows = self.dims.read(DIM_TABLES[name], "id", columns, keys=keys)
             return rows.select(*[F.col(c).try_cast(DIM_TYPES.get(c, "string")).alias(c) for c in columns])
 
         return wide.Dimensions(**{name: table(name) for name in DIM_TABLES})
 
 
+@contextmanager
+def persisted(batch: DataFrame) -> Iterator[None]:
+    """Keep a batch that is read several times; lost blocks are computed again from the source."""
+    batch.persist()
+    try:
+        yield
+    finally:
+        batch.unpersist()
+
+
 # Raw and cleaned layers -----------------------------------------------------
 
 
@@ -210,8 +226,8 @@ def base_db(wh: Warehouse, rules: Callable[[], DataFrame]) -> StreamingQuery:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         current = rules()
-        routed = routing.route(routing.clean(batch.where(F.col(CORRUPT).isNull())), current).persist()
-        try:
+        routed = routing.route(routing.clean(batch.where(F.col(CORRUPT).isNull())), current)
+        with persisted(routed):
             create_dim_tables(wh, current)
             seq = F.coalesce("ts", F.lit(0)).alias("seq")
             wh.dims.upsert(routing.dim_rows(routed.withColumn("seq", seq), "seq"), batch_id)
@@ -219,8 +235,6 @@ def base_db(wh: Warehouse, rules: Callable[[], DataFrame]) -> StreamingQuery:
             rejected = routed.where(F.col("route") == "rejected")
             rejected = rejected.select("database", "table", "type", F.to_json("data").alias("data"), "reason")
             publish_batch(rejected, f"{wh.root}/rejected/{DB_JOB}", batch_id)
-        finally:
-            routed.unpersist()
 
     return wh.start(DB_JOB, records, write)
 
@@ -273,9 +287,10 @@ def order_wide(
     joined = wide.order_detail_join(orders, details, lower_seconds, upper_seconds, wh.salts)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = wide.order_wide(batch, wh.dimensions(), as_of)
-        messages = rows.select(F.lit(ORDER_WIDE).alias("topic"), to_json_text(*schemas.ORDER_WIDE.names).alias("value"))
-        wh.topics.publish(messages, ORDER_WIDE, batch_id)
+        with persisted(batch):
+            rows = wide.order_wide(batch, wh.dimensions(batch), as_of)
+            value = to_json_text(*schemas.ORDER_WIDE.names).alias("value")
+            wh.topics.publish(rows.select(F.lit(ORDER_WIDE).alias("topic"), value), ORDER_WIDE, batch_id)
 
     return wh.start(job, joined, write)
 
@@ -321,8 +336,9 @@ def product_stats(wh: Warehouse, window: str = stats.WINDOW) -> StreamingQuery:
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = stats.product_stats_wide(batch, wh.dimensions())
-        wh.stats.write(rows, "product_stats", schemas.PRODUCT_STATS_COLUMNS, batch_id)
+        with persisted(batch):
+            rows = stats.product_stats_wide(batch, wh.dimensions(batch))
+            wh.stats.write(rows, "product_stats", schemas.PRODUCT_STATS_COLUMNS, batch_id)
 
     return wh.start(job, stats.product_stats(union, window), write)
 
