@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkmart.functions.timeutil import col
 
@@ -41,6 +42,22 @@ def interval_join(
     return left.alias("l").join(right.alias("r"), on, "inner")
 
 
+def reshuffled_key(df: DataFrame, name: str) -> Column:
+    """The key column ``name`` as an expression whose partitioning Spark does not know yet.
+
+    AQE splits a hot key only where both inputs of a join come straight from an
+    exchange.  A table grouped by its key has none left, as it is partitioned
+    already.  With this key it is shuffled once more, one row per key, and the
+    large side can be split.
+    """
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, T.StringType):
+        return F.concat(F.col(name), F.lit(""))
+    if isinstance(dtype, (T.IntegerType, T.LongType)):
+        return F.col(name).bitwiseXOR(F.lit(0).cast(dtype))
+    return F.col(name)
+
+
 def dim_join(df: DataFrame, dim: DataFrame, key: Column | str, outputs: Mapping[str, Column | str], dim_key: str = "id") -> DataFrame:
     """Left join to a dimension with one row per ``dim_key``; every row of ``df`` stays.
 
@@ -52,7 +69,7 @@ def dim_join(df: DataFrame, dim: DataFrame, key: Column | str, outputs: Mapping[
     planning or at run time, and otherwise shuffles, splitting a hot key.
     """
     attributes = dim.select(
-        F.col(dim_key).alias("_dim_key"), *[col(expr).alias(f"_dim_{name}") for name, expr in outputs.items()]
+        reshuffled_key(dim, dim_key).alias("_dim_key"), *[col(expr).alias(f"_dim_{name}") for name, expr in outputs.items()]
     )
     joined = df.join(attributes, col(key) == F.col("_dim_key"), "left")
     kept = [F.col(f"`{c}`") for c in df.columns if c not in outputs]

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from sparkmart import schemas
 from sparkmart.functions import timeutil as tu
 from sparkmart.functions.jsonutil import CORRUPT, parse_json, to_json_text
+from sparkmart.operators.joins import reshuffled_key
 
 # Topics of the split logs.
 PAGE_TOPIC = "dwd_page_log"
@@ -72,7 +73,7 @@ def repair_new_visitors(logs: DataFrame, firsts: DataFrame | None = None) -> Dat
     while the skewed side of a join is split.
     """
     firsts = first_visits(logs) if firsts is None else firsts
-    known = firsts.select(F.col("mid").alias("_mid"), F.col("first_ts").alias("_first_ts"))
+    known = firsts.select(reshuffled_key(firsts, "mid").alias("_mid"), F.col("first_ts").alias("_first_ts"))
     wrong = (F.col(CLAIM) == "1") & (tu.ms_to_date("ts") != tu.ms_to_date("_first_ts"))
     common = F.when(wrong, F.col("common").withField("is_new", F.lit("0"))).otherwise(F.col("common"))
     return (
