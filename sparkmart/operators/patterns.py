@@ -71,8 +71,11 @@ def matched(
     Returns the row of the first event plus a struct ``next`` with the following
     row.  Rows are ordered inside buckets of ``slices`` time limits; a row near the
     start of a bucket is also put into the bucket before it, as a possible
-    follower.  A key's history is thereby spread over many tasks.  Batch only.
+    follower.  A key's history is thereby spread over many tasks.  Tables only, as
+    a stream has no order to look ahead in.
     """
+    if df.isStreaming:
+        raise ValueError("matched pairs need a table; on a stream use emit='timed_out'")
     names = df.columns
     width = int(within_seconds) * slices * 1_000_000
     limit = int(within_seconds) * 1_000_000

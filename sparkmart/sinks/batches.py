@@ -45,9 +45,42 @@ def read_batches(
     return rows
 
 
-def last_batch(spark: SparkSession, root: str) -> int | None:
-    """The highest batch id under ``root``."""
+def last_batch(spark: SparkSession, root: str, before: int | None = None) -> int | None:
+    """The highest batch id under ``root``, or the highest below ``before``."""
     make_dir(spark, root)
     prefix = f"{BATCH}="
     ids = [int(n.removeprefix(prefix)) for n in list_names(spark, root) if n.startswith(prefix)]
-    return max(ids, default=None)
+    return max((i for i in ids if before is None or i < before), default=None)
+
+
+class AppendedTable:
+    """A table that a streaming query only appends to and reads back in later batches.
+
+    ``changes/batch=<id>`` holds what a batch added, ``snapshots/batch=<id>`` all rows
+    up to a batch in few files.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
+        self.spark = spark
+        self.schema = schema
+        self.changes = f"{root}/changes"
+        self.snapshots = f"{root}/snapshots"
+
+    def append(self, df: DataFrame, batch_id: int) -> bool:
+        return publish_batch(df.select(*self.schema.names), self.changes, batch_id)
+
+    def read(self, before: int | None = None) -> DataFrame:
+        """All rows, or those of the batches before ``before``, as a batch that is run again must see them."""
+        upto = last_batch(self.spark, self.snapshots, before)
+        rows = read_batches(self.spark, self.changes, self.schema, before, upto).select(*self.schema.names)
+        if upto is None:
+            return rows
+        return self.spark.read.schema(self.schema).parquet(f"{self.snapshots}/{BATCH}={upto}").unionByName(rows)
+
+    def compact(self) -> bool:
+        """Write a new snapshot; False if no batch came since the last one."""
+        upto = last_batch(self.spark, self.changes)
+        done = last_batch(self.spark, self.snapshots)
+        if upto is None or (done is not None and upto <= done):
+            return False
+        return publish_batch(self.read(), self.snapshots, upto)

@@ -19,12 +19,13 @@ from pyspark.sql.streaming import StreamingQuery
 from sparkmart import schemas
 from sparkmart.functions.jsonutil import CORRUPT, split_corrupt, to_json_text
 from sparkmart.operators import logs, measures, routing, stats, visitors, wide
+from sparkmart.operators.joins import bounded_broadcast
 from sparkmart.session import shared_dir
-from sparkmart.sinks.batches import publish_batch, read_batches
-from sparkmart.sinks.dims import DimTables
+from sparkmart.sinks.batches import AppendedTable, publish_batch
+from sparkmart.sinks.dims import MAX_BROADCAST_KEYS, DimTables
 from sparkmart.sinks.writers import FolderStats, StatsSink, landing_writer
 from sparkmart.sources import cdc
-from sparkmart.sources.topics import FolderTopics, Topics
+from sparkmart.sources.topics import FolderTopics, Topics, read_text_lines
 
 # Topics between the jobs.
 RAW_LOG = "ods_base_log"
@@ -178,6 +179,11 @@ def persisted(batch: DataFrame) -> Iterator[None]:
 # Raw and cleaned layers -----------------------------------------------------
 
 
+def collect_logs(wh: Warehouse, folder: str) -> StreamingQuery:
+    """Log files, one message per line, to the raw log topic."""
+    return wh.start_topic("collect_logs", RAW_LOG, read_text_lines(wh.spark, folder, stream=True))
+
+
 def land_raw_logs(wh: Warehouse, path: str) -> StreamingQuery:
     """Keep every raw log message as text, one folder per day."""
     raw = wh.read(RAW_LOG, "land_raw_logs")
@@ -188,6 +194,10 @@ def land_raw_logs(wh: Warehouse, path: str) -> StreamingQuery:
 FIRST_VISITS = schemas.row(mid=schemas.TEXT, first_ts=schemas.LONG)
 
 
+def first_visits_table(wh: Warehouse) -> AppendedTable:
+    return AppendedTable(wh.spark, f"{wh.root}/first_visits", FIRST_VISITS)
+
+
 def repair_batch(wh: Warehouse, batch: DataFrame, batch_id: int) -> DataFrame:
     """Repair new-visitor flags across batches.
 
@@ -196,12 +206,12 @@ def repair_batch(wh: Warehouse, batch: DataFrame, batch_id: int) -> DataFrame:
     first batch a visitor claims to be new in fixes the day, at the earliest
     time in that batch.
     """
-    root = f"{wh.root}/first_visits"
+    table = first_visits_table(wh)
     found = logs.first_visits(batch)
-    known = read_batches(wh.spark, root, FIRST_VISITS, before=batch_id).drop("batch")
-    publish_batch(found.join(known, "mid", "left_anti"), root, batch_id)
-    firsts = read_batches(wh.spark, root, FIRST_VISITS, before=batch_id + 1).drop("batch")
-    return logs.repair_new_visitors(batch, firsts.join(found.select("mid"), "mid", "left_semi"))
+    table.append(found.join(table.read(before=batch_id), "mid", "left_anti"), batch_id)
+    wanted, _ = bounded_broadcast(found.select("mid"), MAX_BROADCAST_KEYS)
+    firsts = table.read(before=batch_id + 1).join(wanted, "mid", "left_semi")
+    return logs.repair_new_visitors(batch, firsts)
 
 
 def base_log(wh: Warehouse) -> StreamingQuery:
@@ -209,9 +219,10 @@ def base_log(wh: Warehouse) -> StreamingQuery:
     decoded = logs.decode_logs(wh.read(RAW_LOG, LOG_JOB))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good, bad = split_corrupt(batch)
-        publish_batch(bad.select(CORRUPT), f"{wh.root}/corrupt/{LOG_JOB}", batch_id)
-        wh.topics.publish(logs.log_outputs(repair_batch(wh, good, batch_id)), LOG_JOB, batch_id)
+        with persisted(batch):
+            good, bad = split_corrupt(batch)
+            publish_batch(bad.select(CORRUPT), f"{wh.root}/corrupt/{LOG_JOB}", batch_id)
+            wh.topics.publish(logs.log_outputs(repair_batch(wh, good, batch_id)), LOG_JOB, batch_id)
 
     return wh.start(LOG_JOB, decoded, write)
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkmart import schemas
 from sparkmart.session import shared_dir
-from sparkmart.sinks.batches import last_batch, publish_batch, read_batches
+from sparkmart.sinks.batches import AppendedTable, last_batch, publish_batch, read_batches
 from sparkmart.sinks.dims import DimTables
 from sparkmart.sinks.writers import landing_rows
 from sparkmart.sources.topics import FolderTopics, literal_topic
@@ -32,6 +32,22 @@ def test_reading_what_is_not_there_yet(spark, folder):
     assert last_batch(spark, f"{folder}/none") is None
 
 
+def test_appended_table(spark, folder):
+    table = AppendedTable(spark, folder, NUMBER)
+
+    def values(**options):
+        return sorted(r.n for r in table.read(**options).collect())
+
+    assert values() == [] and not table.compact()
+    table.append(numbers(spark, 1), 0)
+    table.append(numbers(spark, 2), 1)
+    assert table.compact() and not table.compact()
+    table.append(numbers(spark, 3), 2)
+    assert values() == [1, 2, 3]
+    # What the batches saw when they were first run.
+    assert [values(before=b) for b in range(4)] == [[], [1], [1, 2], [1, 2, 3]]
+
+
 def test_half_written_batches_are_invisible(spark, folder):
     numbers(spark, 1).write.parquet(f"{folder}/_staging/batch=0")
     assert read_batches(spark, folder, NUMBER).isEmpty()

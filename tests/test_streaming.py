@@ -188,6 +188,9 @@ def test_repair_remembers_visitors_across_batches(spark, wh):
     for i, ts in enumerate([5, 10, DAY]):
         put_text(wh, jobs.RAW_LOG, [log("a", ts, event_id=i, is_new="1"), log(f"b{i}", ts, event_id=10 + i, is_new="1")], i)
         run(jobs.base_log(wh))
+        if i == 1:
+            assert jobs.first_visits_table(wh).compact()
+    assert jobs.first_visits_table(wh).read().count() == 4
     rows = logs.decode_logs(wh.topics.read(spark, logs.PAGE_TOPIC)).collect()
     flags = {r.event_id: r.common.is_new for r in rows}
     assert flags == {0: "1", 1: "1", 2: "0", 10: "1", 11: "1", 12: "1"}
@@ -248,8 +251,11 @@ def test_captured_table(spark, wh):
     assert sorted(map(tuple, rows.collect())) == [("1", "c"), ("3", "d")]
 
 
-def test_raw_logs_land_by_day(spark, wh):
-    put_text(wh, jobs.RAW_LOG, [log("a", 5), log("a", DAY), "{broken"], 0)
+def test_raw_logs_are_collected_and_land_by_day(spark, wh):
+    os.makedirs(f"{wh.root}/files")
+    with open(f"{wh.root}/files/app.log", "w") as f:
+        f.write("\n".join([log("a", 5), log("a", DAY), "{broken"]))
+    run(jobs.collect_logs(wh, f"{wh.root}/files"))
     run(jobs.land_raw_logs(wh, f"{wh.root}/landed"))
     landed = spark.read.text(f"{wh.root}/landed")
     assert landed.count() == 3
