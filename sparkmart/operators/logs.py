@@ -61,6 +61,15 @@ def first_visits(logs: DataFrame) -> DataFrame:
     )
 
 
+def _with_first_visit(df: DataFrame, mid: str, firsts: DataFrame) -> DataFrame:
+    known = firsts.select(reshuffled_key(firsts, "mid").alias("_mid"), F.col("first_ts").alias("_first_ts"))
+    return df.join(known, F.col(mid) == F.col("_mid"), "left").drop("_mid")
+
+
+def _wrong_claim(flag: str, day: Column) -> Column:
+    return (F.col(flag) == "1") & (day != tu.ms_to_date("_first_ts"))
+
+
 def repair_new_visitors(logs: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """Set ``is_new`` to 0 where a visitor already came on another day.
 
@@ -72,15 +81,21 @@ def repair_new_visitors(logs: DataFrame, firsts: DataFrame | None = None) -> Dat
     own a large share of the log, and a window would put all of it in one task,
     while the skewed side of a join is split.
     """
-    firsts = first_visits(logs) if firsts is None else firsts
-    known = firsts.select(reshuffled_key(firsts, "mid").alias("_mid"), F.col("first_ts").alias("_first_ts"))
-    wrong = (F.col(CLAIM) == "1") & (tu.ms_to_date("ts") != tu.ms_to_date("_first_ts"))
+    joined = _with_first_visit(logs, "common.mid", first_visits(logs) if firsts is None else firsts)
+    wrong = _wrong_claim(CLAIM, tu.ms_to_date("ts"))
     common = F.when(wrong, F.col("common").withField("is_new", F.lit("0"))).otherwise(F.col("common"))
-    return (
-        logs.join(known, F.col("common.mid") == F.col("_mid"), "left")
-        .withColumn("common", common)
-        .drop("_mid", "_first_ts")
-    )
+    return joined.withColumn("common", common).drop("_first_ts")
+
+
+def repair_measures(measures: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The repair on measure rows (``mid``, ``is_new``, ``event_time``).
+
+    Neither unique visits nor bounces depend on the flag, so it can be repaired once
+    after their union instead of in each of the branches.
+    """
+    wrong = _wrong_claim("is_new", F.to_date("event_time"))
+    repaired = F.when(wrong, "0").otherwise(F.col("is_new"))
+    return _with_first_visit(measures, "mid", firsts).withColumn("is_new", repaired).drop("_first_ts")
 
 
 def is_start() -> Column:

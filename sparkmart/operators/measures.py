@@ -40,8 +40,9 @@ PRODUCT_IDS = {"order_id": "order_ct", "paid_order_id": "paid_order_ct", "refund
 
 
 def _visitor_row(df: DataFrame, **measures: Column) -> DataFrame:
+    """One row per fact with its keys and all measures; those not given and nulls are 0."""
     filled = [F.coalesce(measures.get(m, F.lit(0)), F.lit(0)).cast("long").alias(m) for m in VISITOR_MEASURES]
-    return df.select("event_time", *[F.col(f"common.{k}") for k in VISITOR_KEYS], *filled)
+    return df.select("event_time", *[F.col(f"common.{k}") for k in ("mid", *VISITOR_KEYS)], *filled)
 
 
 def page_measures(pages: DataFrame) -> DataFrame:

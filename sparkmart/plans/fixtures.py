@@ -35,7 +35,7 @@ TABLES = {
         l_shipdate TIMESTAMP_NTZ""",
     "events": """event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING""",
 }
-SPREAD_BY = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id"}
+SPREAD_BY = {"orders": ["o_orderkey"], "lineitem": ["l_orderkey", "l_linenumber", "l_partkey"], "events": ["event_id"]}
 
 
 class Fixtures:
@@ -49,7 +49,7 @@ class Fixtures:
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             df = read_table(self.spark, f"{self.folder}/{name}.parquet", TABLES[name])
-            self._tables[name] = balanced(df, SPREAD_BY[name]) if name in SPREAD_BY else df
+            self._tables[name] = balanced(df, *SPREAD_BY[name]) if name in SPREAD_BY else df
         return self._tables[name]
 
     # Logs ------------------------------------------------------------------

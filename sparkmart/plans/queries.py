@@ -408,9 +408,11 @@ def tumbling_counts(fx: Fixtures) -> DataFrame:
 
 @query
 def visitor_stats(fx: Fixtures) -> DataFrame:
-    pages = _pages(fx)
+    all_logs = fx.logs()
+    pages = logs.visit_columns(logs.page_logs(all_logs))
     union = measures.visitor_union(pages, visitors.unique_visitors(pages), visitors.bounces(pages, BOUNCE_SECONDS))
-    return stats.visitor_stats(union, EVENT_WINDOW)
+    repaired = logs.repair_measures(union, logs.first_visits(all_logs))
+    return stats.visitor_stats(repaired, EVENT_WINDOW)
 
 
 def _totals(df: DataFrame, names: list[str], window: str = ORDER_WINDOW) -> DataFrame:
