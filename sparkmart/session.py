@@ -22,6 +22,10 @@ STREAMING_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    # Commit the changes of a micro-batch instead of whole snapshots of the state.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # One RocksDB instance per join partition instead of four.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
     # The slowest branch of a union holds the watermark back.
     "spark.sql.streaming.multipleWatermarkPolicy": "min",
 }
