@@ -74,10 +74,14 @@ def route(records: DataFrame, rules: DataFrame, max_broadcast_rules: int = 10_00
 
 
 def fact_payloads(routed: DataFrame, *keep: str) -> DataFrame:
-    """(topic, value) of every fact: its sink table and its data alone, without null fields."""
-    data = F.map_filter("data", lambda _, v: v.isNotNull())
+    """(topic, value) of every fact: its sink table and its data alone, without null fields.
+
+    The values are taken from the record's text, so that numbers stay numbers.
+    """
+    typed = F.from_json("data_text", "MAP<STRING, VARIANT>")
+    kept = F.map_filter(typed, lambda name, _: F.col("data")[name].isNotNull())
     return routed.where(F.col("route") == "fact").select(
-        *keep, F.col("sink_table").alias("topic"), F.to_json(data).alias("value")
+        *keep, F.col("sink_table").alias("topic"), F.to_json(kept).alias("value")
     )
 
 

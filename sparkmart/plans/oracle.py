@@ -288,7 +288,7 @@ SELECTS = {
     ),
     "fact_payloads": (
         ["routed"],
-        """SELECT sink_table AS topic, '{"id":"' || id || '","total":"' || total || '"}' AS value FROM routed WHERE sink_type = 'kafka'""",
+        """SELECT sink_table AS topic, '{"id":' || id || ',"total":"' || total || '"}' AS value FROM routed WHERE sink_type = 'kafka'""",
     ),
     "dim_upsert": (
         [],

@@ -231,7 +231,7 @@ def test_rule_changes_take_effect_before_the_next_batch(spark, wh):
     put_text(wh, jobs.RAW_DB, [json.dumps({"table": "t", "type": "insert", "data": {"id": 2, "n": 3}})], 1)
     run(jobs.base_db(wh, rules))
     stored = spark.read.parquet(f"{wh.root}/topics/base_db")
-    assert sorted((r.topic, r.value) for r in stored.collect()) == [(jobs.CART_INFO, '{"id":"2","n":"3"}'), ("old", '{"id":"1"}')]
+    assert sorted((r.topic, r.value) for r in stored.collect()) == [(jobs.CART_INFO, '{"id":2,"n":3}'), ("old", '{"id":1}')]
 
 
 def test_captured_table(spark, wh):
