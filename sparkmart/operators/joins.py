@@ -58,7 +58,9 @@ def reshuffled_key(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
-def dim_join(df: DataFrame, dim: DataFrame, key: Column | str, outputs: Mapping[str, Column | str], dim_key: str = "id") -> DataFrame:
+def dim_join(
+    df: DataFrame, dim: DataFrame, key: Column | str, outputs: Mapping[str, Column | str], dim_key: str = "id"
+) -> DataFrame:
     """Left join to a dimension with one row per ``dim_key``; every row of ``df`` stays.
 
     ``outputs`` maps new column names to expressions over the dimension.  A null
@@ -69,7 +71,8 @@ def dim_join(df: DataFrame, dim: DataFrame, key: Column | str, outputs: Mapping[
     planning or at run time, and otherwise shuffles, splitting a hot key.
     """
     attributes = dim.select(
-        reshuffled_key(dim, dim_key).alias("_dim_key"), *[col(expr).alias(f"_dim_{name}") for name, expr in outputs.items()]
+        reshuffled_key(dim, dim_key).alias("_dim_key"),
+        *[col(expr).alias(f"_dim_{name}") for name, expr in outputs.items()],
     )
     joined = df.join(attributes, col(key) == F.col("_dim_key"), "left")
     kept = [F.col(f"`{c}`") for c in df.columns if c not in outputs]

@@ -57,7 +57,12 @@ class Fixtures:
     def raw_events(self) -> DataFrame:
         k = F.get_json_object("props", "$.k").cast("int")
         return self.table("events").select(
-            "event_id", F.col("ts").cast("timestamp").alias("event_time"), "user_id", "event_type", "value", k.alias("k")
+            "event_id",
+            F.col("ts").cast("timestamp").alias("event_time"),
+            "user_id",
+            "event_type",
+            "value",
+            k.alias("k"),
         )
 
     @cached_property

@@ -45,12 +45,8 @@ def query(build: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFr
 
 def comparable(df: DataFrame) -> DataFrame:
     """Decimals as doubles, so that engines with other decimal widths compare equal."""
-    return df.select(
-        *[
-            F.col(f"`{f.name}`").cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
-    )
+    doubles = {f.name: F.col(f.name).cast("double") for f in df.schema.fields if isinstance(f.dataType, T.DecimalType)}
+    return df.withColumns(doubles) if doubles else df
 
 
 def _as_of():
@@ -200,7 +196,10 @@ def cdc_decode(fx: Fixtures) -> DataFrame:
 @query
 def cdc_current_table(fx: Fixtures) -> DataFrame:
     snapshot = fx.table("customer").select(
-        F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"), F.lit(-1).cast("long").alias("seq"), F.lit("r").alias("op")
+        F.col("c_custkey").alias("id"),
+        F.col("c_acctbal").alias("balance"),
+        F.lit(-1).cast("long").alias("seq"),
+        F.lit("r").alias("op"),
     )
     changes = fx.table("orders").select(
         F.col("o_custkey").alias("id"),
@@ -305,7 +304,10 @@ def display_explode(fx: Fixtures) -> DataFrame:
 def unique_visitors(fx: Fixtures) -> DataFrame:
     first = visitors.unique_visitors(_pages(fx))
     return first.select(
-        F.col("common.mid").alias("mid"), tu.ms_to_day("ts").alias("day"), "event_id", F.col("common.is_new").alias("is_new")
+        F.col("common.mid").alias("mid"),
+        tu.ms_to_day("ts").alias("day"),
+        "event_id",
+        F.col("common.is_new").alias("is_new"),
     )
 
 
@@ -318,10 +320,9 @@ def user_bounce(fx: Fixtures) -> DataFrame:
 @query
 def pattern_match(fx: Fixtures) -> DataFrame:
     """Entry pages followed by a product page within the limit, with the time between."""
-    opened = F.col("page.page_id") == measures.PRODUCT_PAGE
-    pairs = patterns.followed_by(
-        logs.visit_columns(logs.page_logs(fx.logs())), visitors.MID, visitors.is_entry_page(), opened, BOUNCE_SECONDS, patterns.MATCHED
-    )
+    pages = logs.visit_columns(logs.page_logs(fx.logs()))
+    entry, opened = visitors.is_entry_page(), F.col("page.page_id") == measures.PRODUCT_PAGE
+    pairs = patterns.followed_by(pages, visitors.MID, entry, opened, BOUNCE_SECONDS, patterns.MATCHED)
     return pairs.select(
         "event_id", F.col("next.event_id").alias("next_event_id"), (F.col("next.ts") - F.col("ts")).alias("gap_ms")
     )
@@ -358,7 +359,7 @@ def enrich_sku(fx: Fixtures) -> DataFrame:
 
 
 def _with_sku(fx: Fixtures) -> DataFrame:
-    return wide.with_sku(fx.details().select("id", "sku_id"), fx.skus()).select("id", "sku_id", "spu_id", "tm_id", "category3_id")
+    return wide.with_sku(fx.details().select("id", "sku_id"), fx.skus())
 
 
 @query
@@ -389,9 +390,11 @@ def payment_wide(fx: Fixtures) -> DataFrame:
 @query
 def merge_partial_rows(fx: Fixtures) -> DataFrame:
     """Orders that are not open and orders that are not finished, each with part of the columns."""
-    wide_rows = fx.orders().select(F.col("id").alias("order_id"), "order_status", "user_id", "total_amount", "create_time")
+    columns = ["order_status", "user_id", "total_amount", "create_time"]
+    wide_rows = fx.orders().select(F.col("id").alias("order_id"), *columns)
     partial = F.col("order_status") == "P"
-    left = wide_rows.where(F.col("order_status") != "O").withColumn("total_amount", F.when(~partial, F.col("total_amount")))
+    known = F.when(~partial, F.col("total_amount"))
+    left = wide_rows.where(F.col("order_status") != "O").withColumn("total_amount", known)
     right = wide_rows.where(F.col("order_status") != "F").withColumn("order_status", F.lit("1001")).drop("user_id")
     return joins.merge_partial_rows([left, right], ["order_id"])
 

@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sparkmart import schemas
 from sparkmart.functions import timeutil as tu
+from sparkmart.functions.jsonutil import to_json_rows
 from sparkmart.operators import logs, wide
 from sparkmart.plans.fixtures import AS_OF, Fixtures
 from sparkmart.plans.queries import (
@@ -117,9 +118,7 @@ def stream_visitor_stats(fx: Fixtures) -> DataFrame:
     return stats.where(F.col("vc").isNotNull()).drop("ts", "batch")
 
 
-def _order_messages(fx: Fixtures, wh: jobs.Warehouse) -> dict[str, DataFrame]:
-    from sparkmart.functions.jsonutil import to_json_rows
-
+def _order_messages(fx: Fixtures) -> dict[str, DataFrame]:
     return {
         jobs.ORDER_INFO: to_json_rows(fx.orders().drop("create_ts")),
         jobs.ORDER_DETAIL: to_json_rows(fx.details().drop("create_ts")),
@@ -147,7 +146,7 @@ def _store_dimensions(fx: Fixtures, wh: jobs.Warehouse) -> None:
 def stream_order_wide(fx: Fixtures) -> DataFrame:
     """Orders and details joined by interval, with dimensions from the dimension tables."""
     wh = _warehouse(fx)
-    _publish(wh, jobs.DB_JOB, **_order_messages(fx, wh))
+    _publish(wh, jobs.DB_JOB, **_order_messages(fx))
     _store_dimensions(fx, wh)
     _run(jobs.order_wide(wh, -ORDER_DETAIL_SECONDS, ORDER_DETAIL_SECONDS, F.lit(AS_OF).cast("timestamp")))
     rows = wide.parse_facts(wh.topics.read(fx.spark, jobs.ORDER_WIDE), schemas.ORDER_WIDE)
@@ -158,7 +157,7 @@ def stream_order_wide(fx: Fixtures) -> DataFrame:
 def stream_payment_wide(fx: Fixtures) -> DataFrame:
     """Payments joined to the wide orders that the order job published."""
     wh = _warehouse(fx)
-    _publish(wh, jobs.DB_JOB, **_order_messages(fx, wh))
+    _publish(wh, jobs.DB_JOB, **_order_messages(fx))
     _store_dimensions(fx, wh)
     _run(jobs.order_wide(wh, -ORDER_DETAIL_SECONDS, ORDER_DETAIL_SECONDS, F.lit(AS_OF).cast("timestamp")))
     _run(jobs.payment_wide(wh))
@@ -169,11 +168,9 @@ def stream_payment_wide(fx: Fixtures) -> DataFrame:
 @query
 def stream_product_stats_wide(fx: Fixtures) -> DataFrame:
     """All seven fact streams through the order, payment and statistics jobs."""
-    from sparkmart.functions.jsonutil import to_json_rows
-
     wh = _warehouse(fx)
     text = tu.timestamp_to_text("create_ts").alias("create_time")
-    facts = _order_messages(fx, wh) | {
+    facts = _order_messages(fx) | {
         jobs.FAVOR_INFO: to_json_rows(fx.favors().select("sku_id", text)),
         jobs.CART_INFO: to_json_rows(fx.carts().select("sku_id", text)),
         jobs.REFUND_INFO: to_json_rows(fx.refunds().select("sku_id", "order_id", "refund_amount", text)),
