@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -24,8 +25,15 @@ _words = re.compile(WORD).findall
 _ascii_lower = {c: c + 32 for c in range(65, 91)}
 
 
+#: Where this package was imported from; where executors have it too, their workers find it there.
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def session(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches of the session that a query runs in."""
+    """Bound the Arrow batches of the session that a query runs in, and let workers import this package."""
+    workers = spark.sparkContext.environment
+    if _ROOT not in workers.get("PYTHONPATH", "").split(os.pathsep):
+        workers["PYTHONPATH"] = os.pathsep.join(filter(None, [_ROOT, workers.get("PYTHONPATH")]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
@@ -69,9 +77,7 @@ def appended(
     """
     names = [n for n, _ in fields]
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in {n.lower() for n in names}]
-    added = T.StructType()
-    for name, kind in fields:
-        added = added.add(name, kind)
+    added = T.StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in fields))
     schema = T.StructType([*(df.schema[c] for c in kept), *added.fields])
     arrow_types = [_arrow(f.dataType) for f in added.fields]
 
@@ -101,3 +107,37 @@ def mixed(x: np.ndarray) -> np.ndarray:
     x *= np.uint64(0x94D049BB133111EB)
     x ^= x >> np.uint64(31)
     return x
+
+
+def code_runs(texts: Sequence[str], size: int = 2**20, overlap: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Code points of whole texts in runs of bounded length: (codes, first positions, text numbers).
+
+    Non-empty texts only.  A text longer than ``size`` goes on in the next run, ``overlap``
+    characters earlier, so that windows of ``overlap`` + 1 are seen exactly once.
+    """
+    parts: list[str] = []
+    numbers: list[int] = []
+    filled = 0
+
+    def run():
+        codes = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        return codes, np.cumsum([0, *map(len, parts)])[:-1], np.array(numbers)
+
+    for number, text in enumerate(texts):
+        at = 0
+        while at == 0 and text or at + overlap < len(text):
+            part = text[at : at + size]
+            if filled and filled + len(part) > size:
+                yield run()
+                parts, numbers, filled = [], [], 0
+            parts.append(part)
+            numbers.append(number)
+            filled += len(part)
+            at += max(1, size - overlap)
+    if parts:
+        yield run()
+
+
+def share_of_ids(key: str, salt: int) -> Column:
+    """A number in [0, 1) that an id always gets, for samples of a stated expected size."""
+    return F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(2**30)) / F.lit(float(2**30))

@@ -7,12 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, line_rules, secrets
-from sparkmart.llm.common import table
+from sparkmart.llm import chat, langid, line_rules, packing, pu_quality, secrets
+from sparkmart.llm.common import fold, table
+
+#: The fold of documents that nothing is learned from, in queries 2 and 3.
+FOLDS, HELD_OUT = 4, 2
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def byte_bpe_path() -> str:
+    """Where this installation has the byte-level BPE vocabulary; executors have it at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     QUERIES[run.__name__] = run
     return run
@@ -28,12 +38,38 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.parse_formatted(chat.format_conversations(turns)))
 
 
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three of four folds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.where(fold("doc_id", FOLDS) != HELD_OUT))
+    held_out = (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out")
+    return langid.predict(docs.select("doc_id", "text"), model).select("doc_id", held_out, "lang_pred", "score")
+
+
+@query
+def op3_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from positives and unlabelled texts of three of four folds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    learned = fold("doc_id", FOLDS) != HELD_OUT
+    model = pu_quality.train(docs.where(learned), labels.where(learned))
+    held_out = (fold("doc_id", FOLDS) == HELD_OUT).alias("held_out")
+    return pu_quality.classify(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
 @query
 def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of every document, and the verdict of the line rules."""
     return line_rules.clean_lines(table(spark, sf_dir, "documents")).drop("cleaned")
 
 
+@query
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack_digests(table(spark, sf_dir, "documents"), byte_bpe_path())
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, by patterns and by entropy."""
