@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, langid, line_rules, packing, pu_quality, secrets
+from sparkmart.llm import chat, jaccard, langid, line_rules, packing, pu_quality, secrets
 from sparkmart.llm.common import fold, table
 
 #: The fold of documents that nothing is learned from, in queries 2 and 3.
@@ -70,6 +70,12 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_digests(table(spark, sf_dir, "documents"), byte_bpe_path())
 
 
+@query
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 85 % of their 4-word shingles."""
+    return jaccard.link_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, by patterns and by entropy."""
