@@ -141,3 +141,19 @@ def code_runs(texts: Sequence[str], size: int = 2**20, overlap: int = 0) -> Iter
 def share_of_ids(key: str, salt: int) -> Column:
     """A number in [0, 1) that an id always gets, for samples of a stated expected size."""
     return F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(2**30)) / F.lit(float(2**30))
+
+
+def largest_counts(counts: DataFrame, limit: int) -> DataFrame:
+    """The rows of ``counts`` (with a count ``n``) above the least bound that leaves at most ``limit`` of them.
+
+    The bound comes from the number of rows of each count, counts above ``limit`` being one
+    class; so no more than ``limit`` rows come to the driver, and no more are returned.
+    """
+    classes = counts.groupBy(F.least("n", F.lit(limit)).alias("n")).agg(F.count("*").alias("k")).collect()
+    total, least = 0, None
+    for n, k in sorted(((r["n"], r["k"]) for r in classes), reverse=True):
+        total += k
+        if total > limit:
+            break
+        least = n
+    return counts.where(F.lit(False) if least is None else F.col("n") >= least)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import mixed, written
+from sparkmart.llm.common import largest_counts, mixed, written
 from sparkmart.llm.graph import connected_components
 
 N = 4
@@ -129,17 +129,8 @@ def frequent_tokens(docs: DataFrame) -> np.ndarray:
     sample = docs.where(F.pmod(row_key(), F.lit(2**20)) < int(SAMPLE_SHARE * 2**20)).select("text")
     counts = sample.mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_COUNT)
     counts = written(counts, "frequent")
-    # The least count that leaves no more tokens than allowed; counts above the bound are one class.
-    classes = counts.groupBy(F.least("n", F.lit(MAX_FREQUENT)).alias("n")).agg(F.count("*").alias("k")).collect()
-    total, least = 0, None
-    for n, k in sorted(((r["n"], r["k"]) for r in classes), reverse=True):
-        total += k
-        if total > MAX_FREQUENT:
-            break
-        least = n
-    if least is None:
-        return np.zeros(0, dtype=np.uint64)
-    return np.sort(counts.where(F.col("n") >= least).select("token").toPandas()["token"].to_numpy().view(np.uint64))
+    chosen = largest_counts(counts, MAX_FREQUENT).select("token").toPandas()
+    return np.sort(chosen["token"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
 def ordered(tokens: np.ndarray, frequent: np.ndarray) -> np.ndarray:

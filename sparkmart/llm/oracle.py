@@ -71,4 +71,19 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM counted
 """
 
-SQL = {"op1_chat_format": OP1, "op4_line_quality": OP4}
+OP8 = """
+WITH q AS (
+  SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  GROUP BY vec_id
+), scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda x: coalesce(x[1] * x[2], 0))) AS BIGINT) AS score
+  FROM q a, q b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+SQL = {"op1_chat_format": OP1, "op4_line_quality": OP4, "op8_exact_topk": OP8}

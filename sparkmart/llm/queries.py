@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, jaccard, langid, line_rules, packing, pu_quality, secrets
+from sparkmart.llm import chat, jaccard, langid, line_rules, neural_lm, packing, pu_quality, secrets, topk
 from sparkmart.llm.common import fold, table
 
 #: The fold of documents that nothing is learned from, in queries 2 and 3.
 FOLDS, HELD_OUT = 4, 2
+LM_FOLDS, LM_HELD_OUT = 10, 0
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -76,7 +77,23 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every fiftieth vector."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, by patterns and by entropy."""
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The probability of every document, learned from nine of ten folds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model, counts = neural_lm.train(docs.where(fold("doc_id", LM_FOLDS) != LM_HELD_OUT))
+    held_out = (fold("doc_id", LM_FOLDS) == LM_HELD_OUT).alias("held_out")
+    scored = neural_lm.score(docs, model, counts)
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
