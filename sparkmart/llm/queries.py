@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, jaccard, langid, line_rules, neural_lm, packing, pu_quality, secrets, topk
+from sparkmart.llm import chat, jaccard, langid, line_rules, neural_lm, packing, pu_quality, secrets, sentencepiece_np, topk
 from sparkmart.llm.common import fold, table
 
 #: The fold of documents that nothing is learned from, in queries 2 and 3.
@@ -65,6 +65,14 @@ def op4_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.clean_lines(table(spark, sf_dir, "documents")).drop("cleaned")
 
 
+@query
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in the pieces of a byte-pair SentencePiece model, and back."""
+    import public_tokenizers
+
+    return sentencepiece_np.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
