@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 from sparkmart.llm.common import appended, share_of_ids
 
 #: Bounds of the training sample: documents to expect in it.
-MAX_POSITIVE, MAX_UNLABELLED = 6000, 12000
+MAX_POSITIVE, MAX_UNLABELLED = 4000, 8000
 THRESHOLD = 0.7
 
-#: Character classes, whose pairs are counted: letters, digits, spaces, and marks one by one.
-MARKS = ".,!?;:'\"-()#*$%&|<>@/\\_=+"
-N_CLASSES = 8 + len(MARKS)
+#: Classes of characters, whose pairs are counted; letters, digits and spaces come before them.
+MARKS = (".", ",", ";:", "!", "?", "'\"()-", "#*$%&", "|", "<>@/\\_=+")
+N_CLASSES = 7 + len(MARKS)
 N_PAIRS = N_CLASSES * N_CLASSES
 N_FEATURES = N_PAIRS + 8
 
@@ -34,8 +34,9 @@ def _class_table() -> np.ndarray:
     for c in range(256):
         x = chr(c)
         table[c] = 1 if x.islower() else 2 if x.isupper() else 3 if x.isdigit() else 4 if x in " \t\r\f\v" else 5 if x == "\n" else 0
-    for i, x in enumerate(MARKS):
-        table[ord(x)] = 8 + i
+    for i, some in enumerate(MARKS):
+        for x in some:
+            table[ord(x)] = 7 + i
     return table
 
 
