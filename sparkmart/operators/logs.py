@@ -19,11 +19,15 @@ START_TOPIC = "dwd_start_log"
 DISPLAY_TOPIC = "dwd_display_log"
 
 CLAIM = "common.is_new"
+#: The text a log was read from, with fields that no schema knows.
+RAW = "raw"
 
 
-def decode_logs(raw: DataFrame, value: str = "value") -> DataFrame:
+def decode_logs(raw: DataFrame, value: str = "value", keep_text: bool = False) -> DataFrame:
     """Log text to typed rows with an ``event_time``; bad text in ``_corrupt_record``.
 
+    ``keep_text`` keeps the text in ``raw``, for outputs that forward whole logs.
+
     The new-visitor flag is read from either of its two spellings into
     ``common.is_new``.  A log without an ``event_id`` gets a hash of its text, so
     that equal timestamps always sort the same way.
@@ -39,6 +43,7 @@ def decode_logs(raw: DataFrame, value: str = "value") -> DataFrame:
         "ts",
         F.coalesce("event_id", F.xxhash64(value)).alias("event_id"),
         tu.ms_to_timestamp("ts").alias("event_time"),
+        *([F.col(value).alias(RAW)] if keep_text else []),
         CORRUPT,
     )
 
@@ -70,6 +75,24 @@ def _wrong_claim(flag: str, day: Column) -> Column:
     return (F.col(flag) == "1") & (day != tu.ms_to_date("_first_ts"))
 
 
+def _open(value: Column) -> Column:
+    """JSON text as a map whose values are whatever they were."""
+    return F.from_json(value, "map<string,variant>")
+
+
+def _with_flag(raw: Column, flag: str) -> Column:
+    """The log's text with another new-visitor flag, and everything else as it was."""
+
+    def patch(log: Column) -> Column:
+        kept = F.map_filter(log["common"].cast("map<string,variant>"), lambda k, _: ~k.isin("is_new", "isNew"))
+        common = F.to_variant_object(F.map_concat(kept, F.create_map(F.lit("is_new"), F.lit(flag).cast("variant"))))
+        return F.to_json(
+            F.map_concat(F.map_filter(log, lambda k, _: k != "common"), F.create_map(F.lit("common"), common))
+        )
+
+    return F.transform(F.array(_open(raw)), patch)[0]  # the parsed text is used twice
+
+
 def repair_new_visitors(logs: DataFrame, firsts: DataFrame | None = None) -> DataFrame:
     """Set ``is_new`` to 0 where a visitor already came on another day.
 
@@ -84,7 +107,10 @@ def repair_new_visitors(logs: DataFrame, firsts: DataFrame | None = None) -> Dat
     joined = _with_first_visit(logs, "common.mid", first_visits(logs) if firsts is None else firsts)
     wrong = _wrong_claim(CLAIM, tu.ms_to_date("ts"))
     common = F.when(wrong, F.col("common").withField("is_new", F.lit("0"))).otherwise(F.col("common"))
-    return joined.withColumn("common", common).drop("_first_ts")
+    repaired = {"common": common}
+    if RAW in logs.columns:
+        repaired[RAW] = F.when(wrong, _with_flag(F.col(RAW), "0")).otherwise(F.col(RAW))
+    return joined.withColumns(repaired).drop("_first_ts")
 
 
 def repair_measures(measures: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -137,8 +163,11 @@ def log_outputs(logs: DataFrame, *keep: str) -> DataFrame:
 
     Each log yields its own start or page message and, on a page, one message
     per display.  A single scan feeds every topic, so nothing needs caching.
+    Where the logs have their text (``raw``), it is forwarded, and a display with all
+    its fields; otherwise the messages have the fields of the schema.
     """
-    own = to_json_text("common", "page", "displays", "start", "ts", "event_id")
+    whole = RAW in logs.columns
+    own = F.col(RAW) if whole else to_json_text("common", "page", "displays", "start", "ts", "event_id")
     message = schemas.row(topic=schemas.TEXT, value=schemas.TEXT)
 
     def record(topic: str, value: Column) -> Column:
@@ -149,7 +178,17 @@ def log_outputs(logs: DataFrame, *keep: str) -> DataFrame:
         page_id, ts = F.col("page.page_id").alias("page_id"), F.col("ts").alias("ts")
         return record(DISPLAY_TOPIC, to_json_text(*fields, page_id, ts))
 
-    displays = F.coalesce(F.transform("displays", display), F.array().cast(T.ArrayType(message)))
+    def whole_display(d: Column) -> Column:
+        added = F.create_map(
+            F.lit("page_id"), F.col("page.page_id").cast("variant"), F.lit("ts"), F.col("ts").cast("variant")
+        )
+        kept = F.map_filter(d, lambda k, _: ~k.isin("page_id", "ts"))
+        return record(DISPLAY_TOPIC, F.to_json(F.map_concat(kept, F.map_filter(added, lambda _, v: v.isNotNull()))))
+
+    shown = F.transform("displays", display)
+    if whole:
+        shown = F.transform(F.from_json(RAW, "displays array<map<string,variant>>")["displays"], whole_display)
+    displays = F.coalesce(shown, F.array().cast(T.ArrayType(message)))
     records = F.when(is_start(), F.array(record(START_TOPIC, own))).otherwise(
         F.concat(F.array(record(PAGE_TOPIC, own)), displays)
     )

@@ -106,6 +106,17 @@ class Fixtures:
             tu.ms_to_timestamp(F.unix_millis("event_time")).alias("event_time"),
         )
 
+    def whole_logs(self) -> DataFrame:
+        """The same logs as text, with fields that the schemas do not know."""
+        k = F.pmod(F.col("event_id"), F.lit(7)).cast("int")
+        common = F.col("common").withField("uid", F.concat(F.lit("u"), "common.mid")).withField("os", F.concat(F.lit("os"), k))
+        displays = F.transform("displays", lambda d, i: d.withField("order", i + 1).withField("display_type", F.lit("query")))
+        actions = F.when(k == 1, F.array(F.struct(F.lit("get").alias("action_id"), F.col("ts").alias("ts"))))
+        error = F.when(k == 2, F.struct((F.col("event_id") % 100).alias("code"), F.lit("m").alias("msg")))
+        page = F.col("page").withField("source_type", F.lit("query"))
+        fields = [common.alias("common"), page.alias("page"), displays.alias("displays"), "start", "ts", "event_id"]
+        return self.logs().select(to_json_text(*fields, actions.alias("actions"), error.alias("err")).alias("value"))
+
     def raw_logs(self) -> DataFrame:
         """The same logs as text, some of them broken off in the middle."""
         fields = ("common", "page", "displays", "start", "ts", "event_id")

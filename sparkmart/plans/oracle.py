@@ -47,10 +47,22 @@ CTES = {
     "pages": (["repaired"], "SELECT * FROM repaired WHERE NOT is_start"),
     "shown": (
         ["pages"],
-        """SELECT event_id, page_id, ts_ms, ts, CAST((user_id + i) % np AS VARCHAR) AS item,
+        """SELECT event_id, page_id, ts_ms, ts, i, CAST((user_id + i) % np AS VARCHAR) AS item,
              CASE WHEN i % 2 = 0 THEN 'sku_id' ELSE 'promotion' END AS item_type
            FROM (SELECT *, unnest(range(k % 4)) AS i FROM pages)""",
     ),
+    # A log has 6 fields, and 7 with actions or an error; a display has 4 and gets 2.
+    "messages": (
+        ["repaired", "shown"],
+        """SELECT event_id, CASE WHEN is_start THEN 'dwd_start_log' ELSE 'dwd_page_log' END AS topic, ts_ms AS ts, is_new,
+             'u' || mid AS uid, 'os' || event_id % 7 AS os, page_id, 'query' AS source_type,
+             CASE WHEN event_id % 7 = 1 THEN 'get' END AS action, CASE WHEN event_id % 7 = 2 THEN event_id % 100 END AS error,
+             CAST(NULL AS VARCHAR) AS item, CAST(NULL AS VARCHAR) AS item_type, CAST(NULL AS BIGINT) AS shown_order,
+             CAST(NULL AS VARCHAR) AS display_type, CAST(CASE WHEN event_id % 7 IN (1, 2) THEN 7 ELSE 6 END AS BIGINT) AS n_fields
+           FROM repaired
+           UNION ALL SELECT event_id, 'dwd_display_log', ts_ms, NULL, NULL, NULL, page_id, NULL, NULL, NULL, item, item_type,
+             i + 1, 'query', 6 FROM shown""",
+    ),
     "visits": (
         ["pages"],
         """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY mid, CAST(ts AS DATE) ORDER BY ts_ms, event_id) AS rn
@@ -298,12 +310,7 @@ SELECTS = {
                'name ' || o_orderkey, NULL FROM orders)) WHERE rn = 1""",
     ),
     "new_visitor_repair": (["repaired"], "SELECT event_id, mid, is_new FROM repaired"),
-    "log_split": (
-        ["shown"],
-        """SELECT event_id, CASE WHEN is_start THEN 'dwd_start_log' ELSE 'dwd_page_log' END AS topic, is_new,
-           CAST(NULL AS VARCHAR) AS item FROM repaired
-           UNION ALL SELECT event_id, 'dwd_display_log', NULL, item FROM shown""",
-    ),
+    "log_split": (["messages"], "SELECT * FROM messages"),
     "display_explode": (["shown"], "SELECT item, item_type, page_id, ts_ms AS ts, event_id FROM shown"),
     "unique_visitors": (["visits"], "SELECT mid, strftime(ts, '%Y%m%d') AS day, event_id, is_new FROM visits"),
     "user_bounce": (["bounced"], "SELECT event_id, mid, page_id, ts_ms AS ts FROM bounced"),
@@ -416,11 +423,7 @@ SELECTS = {
 }
 
 
-SELECTS["stream_log_split"] = (
-    ["shown"],
-    """SELECT CASE WHEN is_start THEN 'dwd_start_log' ELSE 'dwd_page_log' END AS topic, ts_ms AS ts, is_new,
-       CAST(NULL AS VARCHAR) AS item FROM repaired UNION ALL SELECT 'dwd_display_log', ts_ms, NULL, item FROM shown""",
-)
+SELECTS["stream_log_split"] = (["messages"], "SELECT * EXCLUDE (event_id) FROM messages")
 # The streaming replays give what the batch queries give.
 for _name in ("unique_visitors", "user_bounce", "visitor_stats", "order_wide", "payment_wide", "product_stats_wide"):
     SELECTS[f"stream_{_name}"] = SELECTS[_name]

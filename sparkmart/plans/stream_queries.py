@@ -20,6 +20,7 @@ from sparkmart.functions.jsonutil import to_json_rows
 from sparkmart.operators import logs, wide
 from sparkmart.plans.fixtures import AS_OF, Fixtures
 from sparkmart.plans.queries import (
+    message_fields,
     BOUNCE_SECONDS,
     EVENT_WINDOW,
     ORDER_DETAIL_SECONDS,
@@ -76,16 +77,11 @@ def _published_logs(fx: Fixtures, wh: jobs.Warehouse, topic: str) -> DataFrame:
 def stream_log_split(fx: Fixtures) -> DataFrame:
     """New-visitor repair and the three-way split, as messages of the three topics."""
     wh = _warehouse(fx)
-    _publish(wh, jobs.RAW_LOG, **{jobs.RAW_LOG: logs.encode_logs(fx.logs())})
+    _publish(wh, jobs.RAW_LOG, **{jobs.RAW_LOG: fx.whole_logs()})
     _run(jobs.base_log(wh))
     topics = (logs.START_TOPIC, logs.PAGE_TOPIC, logs.DISPLAY_TOPIC)
     published = [wh.topics.read(fx.spark, t).withColumn("topic", F.lit(t)) for t in topics]
-    return published[0].union(published[1]).union(published[2]).select(
-        "topic",
-        F.get_json_object("value", "$.ts").cast("long").alias("ts"),
-        F.get_json_object("value", "$.common.is_new").alias("is_new"),
-        F.get_json_object("value", "$.item").alias("item"),
-    )
+    return published[0].union(published[1]).union(published[2]).select("topic", *message_fields())
 
 
 @query

@@ -216,7 +216,7 @@ def repair_batch(wh: Warehouse, batch: DataFrame, batch_id: int) -> DataFrame:
 
 def base_log(wh: Warehouse) -> StreamingQuery:
     """Raw logs to start, page and display topics; broken text to a table."""
-    decoded = logs.decode_logs(wh.read(RAW_LOG, LOG_JOB))
+    decoded = logs.decode_logs(wh.read(RAW_LOG, LOG_JOB), keep_text=True)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with persisted(batch):
