@@ -41,7 +41,7 @@ PERCENT = 85
 SAMPLE_SHARE, MAX_FREQUENT, LEAST_COUNT = 1 / 16, 2**18, 3
 FREQUENT = np.uint64(1 << 63)
 #: Members of a part of a group that is opened, queries that meet there, and parts of a frequent token.
-PART_MEMBERS, PART_QUERIES, TOKEN_PARTS = 64, 1000, 32
+PART_MEMBERS, PART_QUERIES, TOKEN_PARTS = 64, 200, 32
 #: Words of the bitmap that leaves out documents early (64 bits each).
 BITMAP_WORDS = 2**18
 
