@@ -79,12 +79,16 @@ def dim_join(
     return joined.select(*kept, *[F.col(f"_dim_{name}").alias(name) for name in outputs])
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 10_000) -> tuple[DataFrame, bool]:
-    """(``df`` hinted for broadcast, True) if it has at most ``max_rows`` rows, else (``df``, False).
+def bounded_broadcast(
+    df: DataFrame, max_rows: int = 10_000, max_bytes: int = 64 * 2**20
+) -> tuple[DataFrame, bool]:
+    """(``df`` hinted for broadcast, True) if it is within both bounds, else (``df``, False).
 
-    The check reads at most ``max_rows + 1`` rows.
+    Rows and bytes, those of the rows as JSON, are summed in the tasks; no rows move.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
+    size = F.sum(F.octet_length(F.to_json(F.struct("*"))))
+    rows, total = df.agg(F.count("*"), size).first()
+    small = rows <= max_rows and (total or 0) <= max_bytes
     return (F.broadcast(df), True) if small else (df, False)
 
 

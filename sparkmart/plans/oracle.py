@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from sparkmart.functions.codes import LABELS
 from sparkmart.plans.fixtures import AS_OF
 from sparkmart.plans.queries import BOUNCE_SECONDS, ORDER_DETAIL_SECONDS
 
@@ -211,7 +210,46 @@ PSTATS_COLUMNS = (
     "sku_id, display_ct, click_ct, favor_ct, cart_ct, order_sku_num, order_amount, payment_amount, refund_amount, "
     "comment_ct, good_comment_ct, order_ct, paid_order_ct, refund_order_ct"
 )
-LABEL_ROWS = ", ".join(f"('{code}', '{label}')" for code, label in LABELS.items())
+# Codes and labels of the source data model, written out for the comparison.
+LABEL_ROWS = """
+    ('1001', 'order unpaid'),
+    ('1002', 'order paid'),
+    ('1003', 'order cancelled'),
+    ('1004', 'order finished'),
+    ('1005', 'order refunding'),
+    ('1006', 'order refunded'),
+    ('1101', 'alipay'),
+    ('1102', 'wechat'),
+    ('1103', 'unionpay'),
+    ('1201', 'good'),
+    ('1202', 'neutral'),
+    ('1203', 'bad'),
+    ('1204', 'automatic'),
+    ('1301', 'bad goods'),
+    ('1302', 'wrong description'),
+    ('1303', 'sold out'),
+    ('1304', 'wrong size'),
+    ('1305', 'ordered by mistake'),
+    ('1306', 'no reason'),
+    ('1307', 'other reason'),
+    ('1401', 'coupon unused'),
+    ('1402', 'coupon in use'),
+    ('1403', 'coupon used'),
+    ('1501', 'money only'),
+    ('1502', 'money and goods'),
+    ('2401', 'user search'),
+    ('2402', 'promotion'),
+    ('2403', 'recommendation'),
+    ('2404', 'campaign'),
+    ('3101', 'activity full reduction'),
+    ('3102', 'activity quantity discount'),
+    ('3103', 'activity discount'),
+    ('3201', 'coupon full reduction'),
+    ('3202', 'coupon quantity discount'),
+    ('3203', 'coupon voucher'),
+    ('3301', 'range category'),
+    ('3302', 'range trademark'),
+    ('3303', 'range product')"""
 SKU_LINES = "(SELECT d.id, d.sku_id, s.spu_id, s.tm_id, s.category3_id FROM detail d LEFT JOIN skus s ON d.sku_id = s.id)"
 
 # Each query: the expressions it needs and its final SELECT.
@@ -237,10 +275,10 @@ SELECTS = {
     ),
     "code_labels": (
         [],
-        f"""WITH c(code, label) AS (VALUES {LABEL_ROWS})
-            SELECT l_orderkey, l_linenumber, s.label AS status, a.label AS appraisal, r.label AS reason FROM lineitem
-            LEFT JOIN c s ON s.code = '100' || l_linenumber LEFT JOIN c a ON a.code = '120' || l_linenumber
-            LEFT JOIN c r ON r.code = '130' || l_linenumber""",
+        f"""WITH c(code, label) AS (VALUES {LABEL_ROWS}), used AS (
+              SELECT l_orderkey, l_linenumber, unnest(['100', '110', '120', '130', '140', '150', '240', '310', '320', '330'])
+                || l_linenumber AS code FROM lineitem)
+            SELECT l_orderkey, l_linenumber, used.code, label FROM used LEFT JOIN c ON c.code = used.code""",
     ),
     "dim_lookup": (
         [],

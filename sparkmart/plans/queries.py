@@ -36,7 +36,7 @@ def query(build: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFr
     """Register a function of the fixtures under its own name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(build(Fixtures(configure(spark), sf_dir)))
+        return comparable(build(Fixtures(configure(spark, "UTC"), sf_dir)))
 
     run.__doc__ = build.__doc__
     QUERIES[build.__name__] = run
@@ -149,17 +149,11 @@ def scalar_time(fx: Fixtures) -> DataFrame:
 
 @query
 def code_labels(fx: Fixtures) -> DataFrame:
+    """Labels of every group of codes, for known and unknown codes."""
     line = F.col("l_linenumber").cast("string")
-    status = F.concat(F.lit("100"), line)
-    appraisal = F.concat(F.lit("120"), line)
-    reason = F.concat(F.lit("130"), line)
-    return fx.table("lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        decode_code(status).alias("status"),
-        decode_code(appraisal).alias("appraisal"),
-        decode_code(reason).alias("reason"),
-    )
+    groups = F.array(*[F.lit(g) for g in ("100", "110", "120", "130", "140", "150", "240", "310", "320", "330")])
+    rows = fx.table("lineitem").select("l_orderkey", "l_linenumber", F.explode(F.transform(groups, lambda g: F.concat(g, line))).alias("code"))
+    return rows.select("l_orderkey", "l_linenumber", "code", decode_code("code").alias("label"))
 
 
 @query

@@ -38,7 +38,7 @@ DAY = 86_400_000
 
 
 def _warehouse(fx: Fixtures) -> jobs.Warehouse:
-    session = streaming_session(fx.spark)
+    session = streaming_session(fx.spark, fx.spark.sparkContext.defaultParallelism)
     return jobs.Warehouse(session, f"{shared_dir(fx.spark)}/{uuid.uuid4().hex}", trigger={"availableNow": True})
 
 

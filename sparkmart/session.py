@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
 
+TIME_ZONE = "spark.sql.session.timeZone"
+START_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 # Runtime settings; all of them can be changed on a live session.
 RUNTIME_CONF = {
     # One hot key may hold a large share of a table: let AQE split its join
@@ -14,7 +18,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.session.timeZone": "UTC",
+    TIME_ZONE: "UTC",
 }
 
 STREAMING_CONF = {
@@ -34,33 +38,41 @@ STREAMING_CONF = {
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
 
 
-def configure(spark: SparkSession, time_zone: str = "UTC", shuffle_bytes: int | None = None) -> SparkSession:
+def configure(spark: SparkSession, time_zone: str | None = None, shuffle_bytes: int | None = None) -> SparkSession:
     """Apply the runtime settings to an existing session.
 
+    ``time_zone`` sets the zone of all days and windows; without it the session's own stays.
     ``shuffle_bytes`` is the size of the largest shuffle to expect.  It sets how many
     partitions a shuffle starts with, so that one fits in memory; AQE joins those
     that turn out small.  100 TB of logs with a tenth of their columns in a shuffle
     start with some 40,000.
     """
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
-    spark.conf.set("spark.sql.session.timeZone", time_zone)
+        if key != TIME_ZONE:
+            spark.conf.set(key, value)
+    if time_zone is not None:
+        spark.conf.set(TIME_ZONE, time_zone)
     if shuffle_bytes is not None:
         partitions = max(spark.sparkContext.defaultParallelism, -(-shuffle_bytes // SHUFFLE_PARTITION_BYTES))
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+        spark.conf.set(START_PARTITIONS, str(partitions))
     return spark
 
 
-def streaming_session(spark: SparkSession) -> SparkSession:
-    """A session of the same application for streaming queries.
+def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session of the same application for streaming queries, with this one's zone and settings.
 
-    The number of shuffle partitions becomes the number of state partitions for
-    the life of a query, so it follows the cores rather than the default of 200.
+    The number of shuffle partitions becomes the number of state partitions for the
+    life of a query: ``state_partitions``, else the session's ``spark.sql.shuffle.partitions``.
     """
-    session = configure(spark.newSession())
+    session = spark.newSession()
+    for key in (*RUNTIME_CONF, START_PARTITIONS, "spark.sql.shuffle.partitions"):
+        value = spark.conf.get(key, None)
+        if value is not None:
+            session.conf.set(key, value)
     for key, value in STREAMING_CONF.items():
         session.conf.set(key, value)
-    session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    if state_partitions is not None:
+        session.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     return session
 
 
@@ -90,12 +102,12 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, taken from ``spark.checkpoint.dir``.
 
     A machine-local folder is made only where the setting is missing and the
-    session runs in one process.
+    session runs in one process; executors of their own are refused one.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     application = spark.sparkContext.applicationId
     if application not in _made:

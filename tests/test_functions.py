@@ -7,6 +7,7 @@ from sparkmart import schemas
 from sparkmart.functions import timeutil as tu
 from sparkmart.functions.codes import decode_code
 from sparkmart.functions.jsonutil import CORRUPT, parse_json, split_corrupt, to_json_rows
+from sparkmart.session import START_PARTITIONS, configure, streaming_session
 
 
 def one(spark, *columns):
@@ -66,3 +67,17 @@ def test_parse_json_is_lenient_about_quotes_and_keeps_bad_text(spark):
 def test_json_rows_leave_out_nulls(spark):
     df = spark.createDataFrame([(1, None, datetime.date(2024, 1, 2))], "a int, b string, c date")
     assert to_json_rows(df).first().value == '{"a":1,"c":"2024-01-02"}'
+
+
+def test_streams_have_the_zone_and_settings_of_their_session(spark):
+    parent = spark.newSession()
+    parent.conf.set("spark.sql.shuffle.partitions", "3")
+    configure(parent, "Asia/Shanghai", shuffle_bytes=2**32)
+    session = streaming_session(parent)
+    for key in ("spark.sql.session.timeZone", START_PARTITIONS, "spark.sql.shuffle.partitions"):
+        assert session.conf.get(key) == parent.conf.get(key)
+    assert streaming_session(parent, 5).conf.get("spark.sql.shuffle.partitions") == "5"
+    assert configure(session).conf.get("spark.sql.session.timeZone") == "Asia/Shanghai"
+    around_midnight = [(57_599_999,), (57_600_000,)]
+    days = [[r[0] for r in s.createDataFrame(around_midnight, "ts long").select(tu.ms_to_day("ts")).collect()] for s in (parent, session)]
+    assert days[0] == days[1] == ["19700101", "19700102"]

@@ -125,6 +125,8 @@ def test_shared_dir_is_the_configured_one():
 def test_no_machine_local_folder_on_a_cluster():
     with pytest.raises(ValueError):
         shared_dir(Session("yarn"))
+    with pytest.raises(ValueError):
+        shared_dir(Session("local-cluster[2,1,1024]"))
 
 
 def test_shared_dir_of_a_local_session(spark):

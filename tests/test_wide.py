@@ -96,3 +96,5 @@ def test_merge_partial_rows(spark):
 def test_bounded_broadcast(spark):
     assert joins.bounded_broadcast(spark.range(5), 5)[1]
     assert not joins.bounded_broadcast(spark.range(6), 5)[1]
+    assert not joins.bounded_broadcast(spark.range(6), 10, max_bytes=20)[1]
+    assert joins.bounded_broadcast(spark.range(0), 5)[1]
