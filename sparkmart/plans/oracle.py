@@ -37,6 +37,12 @@ CTES = {
            CAST(user_id % np AS VARCHAR) AS item, CAST(round(value * 1000) AS BIGINT) AS during_time,
            event_type = 'signup' AND k % 2 = 0 AS is_start, k, user_id, np, ts_ms, ts FROM ev""",
     ),
+    "customers_kept": (
+        [],
+        """SELECT CAST(c_custkey AS VARCHAR) AS id, c_custkey, coalesce('name ' || o.last, c_name) AS name, c_mktsegment AS segment
+           FROM customer LEFT JOIN (SELECT o_custkey, arg_max(o_orderkey, (o_orderstatus <> 'F', o_orderkey)) AS last
+             FROM orders GROUP BY o_custkey) o ON o.o_custkey = c_custkey""",
+    ),
     "repaired": (
         ["logs"],
         """SELECT *, CASE WHEN flag = '1' AND CAST(ts AS DATE) <>
@@ -340,12 +346,13 @@ SELECTS = {
         ["routed"],
         """SELECT sink_table AS topic, '{"id":' || id || ',"total":"' || total || '"}' AS value FROM routed WHERE sink_type = 'kafka'""",
     ),
-    "dim_upsert": (
-        [],
-        """SELECT id, name, segment FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY batch DESC, seq DESC) AS rn FROM (
-             SELECT 0 AS batch, c_custkey AS seq, CAST(c_custkey AS VARCHAR) AS id, c_name AS name, c_mktsegment AS segment FROM customer
-             UNION ALL SELECT CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 2 END, o_orderkey, CAST(o_custkey AS VARCHAR),
-               'name ' || o_orderkey, NULL FROM orders)) WHERE rn = 1""",
+    "dim_upsert": (["customers_kept"], "SELECT id, name, segment FROM customers_kept"),
+    # Deleted rows are gone, or have only what came after the deletion.
+    "dim_upsert_deletes": (
+        ["customers_kept"],
+        """SELECT id, CASE WHEN c_custkey % 3 <> 0 THEN name END AS name, CASE WHEN c_custkey % 3 <> 0 THEN segment END AS segment,
+             CASE WHEN c_custkey % 2 = 0 THEN id END AS balance
+           FROM customers_kept WHERE c_custkey % 3 <> 0 OR c_custkey % 2 = 0""",
     ),
     "new_visitor_repair": (["repaired"], "SELECT event_id, mid, is_new FROM repaired"),
     "log_split": (["messages"], "SELECT * FROM messages"),

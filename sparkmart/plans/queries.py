@@ -241,22 +241,21 @@ def fact_payloads(fx: Fixtures) -> DataFrame:
     return routing.fact_payloads(_routed(fx))
 
 
-@query
-def dim_upsert(fx: Fixtures) -> DataFrame:
-    """A stored dimension: customers, then two batches of order changes by customer, compacted in between."""
-    dims = DimTables(fx.spark, f"{shared_dir(fx.spark)}/{uuid.uuid4().hex}")
-    dims.create("customer", "id,name,segment")
+def _customer_rows(df: DataFrame, seq: str, kind: str, **data: Column) -> DataFrame:
+    entries = [x for name, value in data.items() for x in (F.lit(name), value)]
+    return df.select(
+        F.col(seq).cast("long").alias("seq"),
+        F.lit("customer").alias("sink_table"),
+        data["id"].alias("pk"),
+        F.lit(kind).alias("type"),
+        F.create_map(*entries).alias("data"),
+    )
 
-    def rows(df: DataFrame, seq: str, kind: str, **data: Column) -> DataFrame:
-        entries = [x for name, value in data.items() for x in (F.lit(name), value)]
-        return df.select(
-            F.col(seq).cast("long").alias("seq"),
-            F.lit("customer").alias("sink_table"),
-            data["id"].alias("pk"),
-            F.lit(kind).alias("type"),
-            F.create_map(*entries).alias("data"),
-        )
 
+def _customers(fx: Fixtures) -> DimTables:
+    dims = DimTables(fx.spark, f"{shared_dir(fx.spark)}/{uuid.uuid4().hex}")
+    dims.create("customer", "id,name,segment")
+    rows = _customer_rows
     customer = {"name": F.col("c_name"), "segment": F.col("c_mktsegment")}
     dims.upsert(rows(fx.table("customer"), "c_custkey", "insert", id=F.col("c_custkey").cast("string"), **customer), 0)
     order = {"id": F.col("o_custkey").cast("string"), "name": F.concat(F.lit("name "), F.col("o_orderkey"))}
@@ -264,7 +263,28 @@ def dim_upsert(fx: Fixtures) -> DataFrame:
     dims.upsert(rows(fx.table("orders").where(finished), "o_orderkey", "update", **order), 1)
     dims.compact("customer")
     dims.upsert(rows(fx.table("orders").where(~finished), "o_orderkey", "update", **order), 2)
-    return dims.read("customer")
+    return dims
+
+
+@query
+def dim_upsert(fx: Fixtures) -> DataFrame:
+    """A stored dimension: customers, then two batches of order changes by customer, compacted in between."""
+    return _customers(fx).read("customer")
+
+
+@query
+def dim_upsert_deletes(fx: Fixtures) -> DataFrame:
+    """The same, then deletions, a compaction, and a new column for some of the deleted and the others."""
+    dims = _customers(fx)
+    id_text = F.col("c_custkey").cast("string")
+    gone = fx.table("customer").where("c_custkey % 3 = 0")
+    dims.upsert(_customer_rows(gone, "c_custkey", "delete", id=id_text), 3)
+    dims.compact("customer")
+    dims.create("customer", "id,balance")
+    back = fx.table("customer").where("c_custkey % 2 = 0")
+    balance = F.col("c_custkey").cast("string")
+    dims.upsert(_customer_rows(back, "c_custkey", "update", id=id_text, balance=balance), 4)
+    return dims.read("customer", apply_deletes=True)
 
 
 # Logs ------------------------------------------------------------------------

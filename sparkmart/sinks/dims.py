@@ -3,10 +3,13 @@
 Layout under one root::
 
     changes/batch=<id>/sink_table=<table>/    upserts: seq, pk, type, data
-    snapshots/<table>/batch=<id>/             the table as of that batch, one text column each
+    snapshots/<table>/batch=<id>/             the table as of that batch: pk, data, deleted
+    columns/<table>/batch=<n>/                names of the columns, as rules give them
 
 An upsert appends its batch only; a reader takes the newest snapshot plus the
-batches after it, last change per key.  No table is rewritten per batch.
+batches after it.  No table is rewritten per batch.  A change sets the columns it
+carries and leaves the others, as an upsert by column does; a snapshot keeps every
+column and the mark of a deleted row, so a reader finds the same before and after.
 """
 
 from __future__ import annotations
@@ -20,12 +23,14 @@ from sparkmart import schemas
 from sparkmart.operators.joins import bounded_broadcast
 from sparkmart.operators.routing import dim_schema
 from sparkmart.sinks.batches import BATCH, last_batch, publish_batch, read_batches
-from sparkmart.sources.cdc import current_table
 from sparkmart.sources.files import list_names, make_dir
 
 CHANGES = schemas.row(
     seq=schemas.LONG, pk=schemas.TEXT, type=schemas.TEXT, data=schemas.TEXT_MAP, sink_table=schemas.TEXT
 )
+SNAPSHOT = schemas.row(pk=schemas.TEXT, data=schemas.TEXT_MAP, deleted=schemas.LONG)
+COLUMNS = schemas.row(name=schemas.TEXT, place=schemas.LONG)
+DELETE = "delete"
 
 # Keys are short text: a million of them take some tens of megabytes.
 MAX_BROADCAST_KEYS = 1_000_000
@@ -39,21 +44,54 @@ class DimTables:
     def _snapshots(self, table: str) -> str:
         return f"{self.root}/snapshots/{table}"
 
+    def _columns(self, table: str) -> str:
+        return f"{self.root}/columns/{table}"
+
+    def columns(self, table: str) -> list[str]:
+        """The columns of a table in the order in which rules brought them."""
+        rows = read_batches(self.spark, self._columns(table), COLUMNS).collect()  # some tens of names
+        return [r["name"] for r in sorted(rows, key=lambda r: (r[BATCH], r["place"]))]
+
     def create(self, table: str, sink_columns: str, sink_pk: str | None = None) -> bool:
-        """Make an empty table from a rule's column list, unless there is one; True if made."""
-        if last_batch(self.spark, self._snapshots(table)) is not None:
-            return False
-        empty = self.spark.createDataFrame([], dim_schema(sink_columns, sink_pk))
-        return publish_batch(empty, self._snapshots(table), -1)
+        """Give a table the columns of a rule's list that it lacks, or make it; True if it was made."""
+        known = self.columns(table)
+        new = [n for n in dim_schema(sink_columns, sink_pk).names if n not in known]
+        if new:
+            rows = self.spark.createDataFrame([(n, i) for i, n in enumerate(new)], COLUMNS)
+            last = last_batch(self.spark, self._columns(table))
+            publish_batch(rows, self._columns(table), 0 if last is None else last + 1)
+        return not known
 
     def tables(self) -> list[str]:
-        make_dir(self.spark, f"{self.root}/snapshots")
-        return sorted(n for n in list_names(self.spark, f"{self.root}/snapshots") if not n.startswith("_"))
+        make_dir(self.spark, f"{self.root}/columns")
+        return sorted(n for n in list_names(self.spark, f"{self.root}/columns") if not n.startswith("_"))
 
     def upsert(self, rows: DataFrame, batch_id: int) -> bool:
-        """Append a batch of changes: ``seq``, ``sink_table``, ``pk``, ``type``, ``data``."""
-        changes = rows.where(F.col("pk").isNotNull()).select(*CHANGES.names)
-        return publish_batch(changes, f"{self.root}/changes", batch_id, ["sink_table"])
+        """Append a batch of changes: ``seq``, ``sink_table``, ``pk``, ``type``, ``data``.
+
+        A change without a key belongs to no row; it is kept for `rejected`.
+        """
+        return publish_batch(rows.select(*CHANGES.names), f"{self.root}/changes", batch_id, ["sink_table"])
+
+    def rejected(self, table: str) -> DataFrame:
+        """Changes that have no key."""
+        rows = read_batches(self.spark, f"{self.root}/changes", CHANGES)
+        return rows.where((F.col("sink_table") == table) & F.col("pk").isNull())
+
+    def _versions(self, table: str) -> tuple[DataFrame, int | None]:
+        """Snapshot rows and later changes as (pk, at, type, data); ``at`` orders them."""
+        upto = last_batch(self.spark, self._snapshots(table))
+        changes = read_batches(self.spark, f"{self.root}/changes", CHANGES, after=upto)
+        at = F.struct(F.col(BATCH).alias("batch"), "seq")
+        rows = changes.where((F.col("sink_table") == table) & F.col("pk").isNotNull()).select(
+            "pk", at.alias("at"), "type", "data"
+        )
+        if upto is not None:
+            stored = self.spark.read.schema(SNAPSHOT).parquet(f"{self._snapshots(table)}/{BATCH}={upto}")
+            first = F.struct(F.lit(upto).cast("long").alias("batch"), F.lit(-1).cast("long").alias("seq"))
+            kind = F.when(F.col("deleted") == 1, DELETE).otherwise("snapshot")
+            rows = stored.select("pk", first.alias("at"), kind.alias("type"), "data").unionByName(rows)
+        return rows, upto
 
     def read(
         self,
@@ -65,43 +103,56 @@ class DimTables:
     ) -> DataFrame:
         """The table's current rows as text columns.
 
-        A deleted row stays, with its last image, unless ``apply_deletes``.
-        ``columns`` is needed only for a table that was never created.  ``keys`` is
-        one column of key values: only their rows are read, so that a small batch
+        Each column has the value of the last change that carries it; of changes that
+        are equal in batch and ``seq``, the greatest value.  A deleted row stays, with its
+        last image, unless ``apply_deletes``, which also forgets what was set before the
+        deletion.  ``columns`` is needed only for a table that was never created.  ``keys``
+        is one column of key values: only their rows are read, so that a small batch
         does not sort a large table.
         """
-        upto = last_batch(self.spark, self._snapshots(table))
-        order = [BATCH, "_seq"]
-        wanted = None if keys is None else bounded_broadcast(keys.toDF("_wanted").distinct(), MAX_BROADCAST_KEYS)[0]
-
-        def only_wanted(rows: DataFrame, key: Column) -> DataFrame:
-            return rows if wanted is None else rows.join(wanted, key == F.col("_wanted"), "left_semi")
-
-        snapshot = None
-        if upto is not None:
-            path = f"{self._snapshots(table)}/{BATCH}={upto}"
-            stored = self.spark.read.parquet(path)
-            columns = stored.columns
-            snapshot = only_wanted(stored, F.col(pk)).select(
-                "*",
-                F.lit(upto).cast("long").alias(BATCH),
-                F.lit(-1).cast("long").alias("_seq"),
-                F.lit("snapshot").alias("_type"),
-            )
-        rows = read_batches(self.spark, f"{self.root}/changes", CHANGES, after=upto).where(F.col("sink_table") == table)
-        changes = only_wanted(rows, F.col("pk")).select(
-            *[F.col("data")[c].alias(c) for c in columns],
-            BATCH,
-            F.col("seq").alias("_seq"),
-            F.col("type").alias("_type"),
-        )
-        deleted = F.col("_type") == "delete" if apply_deletes else None
-        return current_table(snapshot, changes, [pk], order, deleted).select(*columns)
-
-    def compact(self, table: str, pk: str = "id", apply_deletes: bool = False) -> bool:
-        """Write a new snapshot that covers all batches so far; False if there is nothing new."""
+        columns = list(dict.fromkeys([*self.columns(table), *columns]))
+        rows, _ = self._versions(table)
+        if keys is not None:
+            wanted = bounded_broadcast(keys.toDF("_wanted").distinct(), MAX_BROADCAST_KEYS)[0]
+            rows = rows.join(wanted, F.col("pk") == F.col("_wanted"), "left_semi")
+
+        def last(name: str) -> Column:
+            value = F.struct("at", F.col("data")[name].alias("value"))
+            return F.max(F.when(F.map_contains_key("data", name), value)).alias(f"_{name}")
+
+        ends = [
+            F.max(F.when(F.col("type") == DELETE, F.col("at"))).alias("deleted_at"),
+            F.max(F.struct("at", "type")).alias("newest"),
+        ]
+        current = rows.groupBy("pk").agg(*ends, *[last(c) for c in columns])
+        if apply_deletes:
+            current = current.where(F.col("newest.type") != DELETE)
+
+        def value(name: str) -> Column:
+            found = F.col(f"`_{name}`")
+            seen = F.col("deleted_at").isNull() | (found["at"] > F.col("deleted_at"))
+            text = F.when(seen, found["value"]) if apply_deletes else found["value"]
+            return (F.coalesce(text, F.col("pk")) if name == pk else text).alias(name)
+
+        return current.select(*[value(c) for c in columns])
+
+    def compact(self, table: str) -> bool:
+        """Write a new snapshot that covers all batches so far; False if there is nothing new.
+
+        Every column is kept, whether a rule names it or not, and deleted rows keep their mark.
+        """
         upto = last_batch(self.spark, f"{self.root}/changes")
-        done = last_batch(self.spark, self._snapshots(table))
-        if upto is None or done is None or upto <= done:
+        rows, done = self._versions(table)
+        if upto is None or (done is not None and upto <= done):
             return False
-        return publish_batch(self.read(table, pk, (), apply_deletes), self._snapshots(table), upto)
+        newest = rows.groupBy("pk").agg(F.max(F.struct("at", "type")).alias("newest"))
+        values = rows.select("pk", "at", F.explode("data").alias("name", "value"))
+        last = values.groupBy("pk", "name").agg(F.max(F.struct("at", "value")).alias("last"))
+        # One entry for each column of a row.
+        data = last.groupBy("pk").agg(
+            F.map_from_entries(F.collect_list(F.struct("name", F.col("last.value").alias("value")))).alias("data")
+        )
+        marked = newest.select("pk", (F.col("newest.type") == DELETE).cast("long").alias("deleted"))
+        none = F.create_map().cast("map<string,string>")
+        snapshot = marked.join(data, "pk", "left").select("pk", F.coalesce("data", none).alias("data"), "deleted")
+        return publish_batch(snapshot, self._snapshots(table), upto)

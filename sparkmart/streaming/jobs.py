@@ -97,6 +97,8 @@ class Warehouse:
     trigger: dict = field(default_factory=lambda: {"processingTime": "5 seconds"})
     watermark: str = WATERMARK
     salts: int = 4
+    # Batches after which a job folds the changes of its tables into a snapshot.
+    compact_every: int = 500
 
     def __post_init__(self):
         if self.root is None:
@@ -208,8 +210,12 @@ def repair_batch(wh: Warehouse, batch: DataFrame, batch_id: int) -> DataFrame:
     """
     table = first_visits_table(wh)
     found = logs.first_visits(batch)
-    table.append(found.join(table.read(before=batch_id), "mid", "left_anti"), batch_id)
     wanted, _ = bounded_broadcast(found.select("mid"), MAX_BROADCAST_KEYS)
+    # Only the batch's visitors are looked at, also on the side that is read in full.
+    known = table.read(before=batch_id).join(wanted, "mid", "left_semi")
+    table.append(found.join(known, "mid", "left_anti"), batch_id)
+    if (batch_id + 1) % wh.compact_every == 0:
+        table.compact()
     firsts = table.read(before=batch_id + 1).join(wanted, "mid", "left_semi")
     return logs.repair_new_visitors(batch, firsts)
 
@@ -369,4 +375,10 @@ def capture_table(wh: Warehouse, topic: str, table: str, pk: str = "id") -> Stre
         cdc.row_image().alias("data"),
     )
     store = DimTables(wh.spark, f"{wh.root}/captured/{table}")
-    return wh.start(job, rows, lambda batch, batch_id: store.upsert(batch, batch_id))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        store.upsert(batch, batch_id)
+        if (batch_id + 1) % wh.compact_every == 0:
+            store.compact(table)
+
+    return wh.start(job, rows, write)

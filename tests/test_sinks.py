@@ -84,25 +84,47 @@ def test_dimension_upserts(spark, folder):
 
     dims.upsert(changes(spark, (1, "insert", {"id": "1", "name": "a", "note": "it's"}), (2, "insert", {"id": "2", "name": "b"})), 0)
     dims.upsert(changes(spark, (4, "update", {"id": "1", "name": "d"}), (3, "update", {"id": "1", "name": "c"})), 1)
-    assert people(dims) == [("1", "d", None), ("2", "b", None)]
+    assert people(dims) == [("1", "d", "it's"), ("2", "b", None)]  # what a change does not carry stays
 
     # A later batch wins even if its sequence numbers start again.
     dims.upsert(changes(spark, (1, "delete", {"id": "2", "name": "b"}), (2, "insert", {"id": "3", "name": "e"})), 2)
-    everyone = [("1", "d", None), ("2", "b", None), ("3", "e", None)]
+    everyone = [("1", "d", "it's"), ("2", "b", None), ("3", "e", None)]
+    left = [everyone[0], everyone[2]]
     assert people(dims) == everyone
-    assert people(dims, apply_deletes=True) == [everyone[0], everyone[2]]
+    assert people(dims, apply_deletes=True) == left
 
     assert dims.compact("people") and not dims.compact("people")
-    assert people(dims) == everyone
-    dims.upsert(changes(spark, (1, "update", {"id": "3", "name": "f", "note": "n"})), 3)
-    assert people(dims) == [*everyone[:2], ("3", "f", "n")]
+    assert people(dims) == everyone and people(dims, apply_deletes=True) == left
+    dims.upsert(changes(spark, (1, "update", {"id": "3", "name": None, "note": "n"}), (2, "insert", {"id": "2", "note": "x"})), 3)
+    assert people(dims) == [everyone[0], ("2", "b", "x"), ("3", None, "n")]
+    assert people(dims, apply_deletes=True) == [everyone[0], ("2", None, "x"), ("3", None, "n")]
+
+
+def test_columns_grow_with_their_rule(spark, folder):
+    dims = DimTables(spark, folder)
+    dims.create("people", "id,name")
+    dims.upsert(changes(spark, (1, "insert", {"id": "1", "name": "a", "note": "kept"})), 0)
+    assert dims.compact("people") and people(dims) == [("1", "a")]
+    assert not dims.create("people", "id,note,name")
+    assert dims.columns("people") == ["id", "name", "note"] and people(dims) == [("1", "a", "kept")]
+
+
+def test_captured_tables_are_compacted(spark, folder):
+    dims = DimTables(spark, folder)
+    dims.upsert(changes(spark, (1, "insert", {"id": "1", "name": "a"}), (1, "insert", {"id": "1", "name": "b"})), 0)
+    before = people(dims, columns=["id", "name"])
+    assert before == [("1", "b")]  # a defined winner of equal changes
+    assert dims.compact("people") and people(dims, columns=["id", "name"]) == before
 
 
-def test_rows_without_a_key_are_not_stored(spark, folder):
+def test_rows_without_a_key_are_rejected(spark, folder):
     dims = DimTables(spark, folder)
     dims.create("people", "id,name")
     dims.upsert(changes(spark, (1, "insert", {"name": "a"}), (1, "insert", {"id": "1"})), 0)
     assert people(dims) == [("1", None)]
+    assert [r.data for r in dims.rejected("people").collect()] == [{"name": "a"}]
+    dims.compact("people")
+    assert dims.rejected("people").count() == 1
 
 
 def test_landing_day(spark):
