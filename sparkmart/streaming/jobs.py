@@ -25,6 +25,7 @@ from sparkmart.sinks.batches import AppendedTable, publish_batch
 from sparkmart.sinks.dims import MAX_BROADCAST_KEYS, DimTables
 from sparkmart.sinks.writers import FolderStats, StatsSink, landing_writer
 from sparkmart.sources import cdc
+from sparkmart.sources.files import list_names, make_dir
 from sparkmart.sources.topics import FolderTopics, Topics, read_text_lines
 
 # Topics between the jobs.
@@ -81,6 +82,10 @@ PRODUCERS = dict.fromkeys([logs.PAGE_TOPIC, logs.START_TOPIC, logs.DISPLAY_TOPIC
 )
 
 
+# Ids of the batches of a checkpoint start at a multiple of this.
+BATCHES_PER_EPOCH = 2**32
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """Where the jobs read and write.
@@ -124,9 +129,32 @@ class Warehouse:
     def facts(self, topic: str, job: str, schema, time: str = "create_time") -> DataFrame:
         return split_corrupt(wide.parse_facts(self.read(topic, job), schema, time))[0]
 
+    def first_batch(self, job: str) -> int:
+        """The id that a job's batch 0 is published under.
+
+        Spark counts batches anew for a new checkpoint.  Each checkpoint therefore has an
+        epoch of its own, kept beside it, and publishes after all earlier ones; what a
+        caller loads itself, with small ids, comes before.  A restart finds its epoch again,
+        so a batch that runs twice is still published once.
+        """
+        prefix, own, all_epochs = "epoch=", f"{self.checkpoint(job)}/epochs", f"{self.root}/epochs/{job}"
+
+        def epochs(folder: str) -> list[int]:
+            make_dir(self.spark, folder)
+            return [int(n.removeprefix(prefix)) for n in list_names(self.spark, folder) if n.startswith(prefix)]
+
+        found = epochs(own)
+        epoch = max(found) if found else 1 + max(epochs(all_epochs), default=0)
+        if not found:
+            make_dir(self.spark, f"{all_epochs}/{prefix}{epoch}")
+            make_dir(self.spark, f"{own}/{prefix}{epoch}")
+        return epoch * BATCHES_PER_EPOCH
+
     def start(
         self, job: str, stream: DataFrame, write: Callable[[DataFrame, int], None], mode: str = "append"
     ) -> StreamingQuery:
+        first = self.first_batch(job)
+
         def run(batch: DataFrame, batch_id: int) -> None:
             # A streaming query turns AQE off in its session, as its state fixes the
             # partitioning; what is done with a finished batch may be adapted again.
@@ -134,7 +162,7 @@ class Warehouse:
             before = conf.get(ADAPTIVE)
             conf.set(ADAPTIVE, "true")
             try:
-                write(batch, batch_id)
+                write(batch, first + batch_id)
             finally:
                 conf.set(ADAPTIVE, before)
 

@@ -196,6 +196,25 @@ def test_repair_remembers_visitors_across_batches(spark, wh):
     assert flags == {0: "1", 1: "1", 2: "0", 10: "1", 11: "1", 12: "1"}
 
 
+def test_a_new_checkpoint_publishes_after_the_old_one(spark, wh):
+    class Fresh(jobs.Warehouse):
+        def checkpoint(self, job):
+            return f"{self.root}/other_checkpoints/{job}"
+
+    def pages():
+        return sorted(r.event_id for r in logs.decode_logs(wh.topics.read(spark, logs.PAGE_TOPIC)).collect())
+
+    put_text(wh, jobs.RAW_LOG, [log("a", 5, event_id=1)], 0)
+    run(jobs.base_log(wh))
+    put_text(wh, jobs.RAW_LOG, [log("a", 6, event_id=2)], 1)
+    fresh = Fresh(spark, wh.root, trigger={"availableNow": True}, salts=2)
+    run(jobs.base_log(fresh))
+    assert pages() == [1, 1, 2]  # it has read the topic from its beginning, and lost nothing
+    run(jobs.base_log(fresh))
+    run(jobs.base_log(wh))
+    assert pages().count(1) == 2 and fresh.first_batch(jobs.LOG_JOB) == 2 * jobs.BATCHES_PER_EPOCH
+
+
 def test_a_batch_run_again_changes_nothing(spark, wh, logs_of):
     batch = logs_of(log("a", 5, event_id=1, is_new="1"))
     later = logs_of(log("a", DAY, event_id=2, is_new="1"))
