@@ -129,6 +129,10 @@ class Warehouse:
     def facts(self, topic: str, job: str, schema, time: str = "create_time") -> DataFrame:
         return split_corrupt(wide.parse_facts(self.read(topic, job), schema, time))[0]
 
+    def keep_corrupt(self, rows: DataFrame, job: str, batch_id: int) -> None:
+        """Text that a job could not read, as a table of its own."""
+        publish_batch(rows.select(CORRUPT), f"{self.root}/corrupt/{job}", batch_id)
+
     def first_batch(self, job: str) -> int:
         """The id that a job's batch 0 is published under.
 
@@ -255,7 +259,7 @@ def base_log(wh: Warehouse) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
         with persisted(batch):
             good, bad = split_corrupt(batch)
-            publish_batch(bad.select(CORRUPT), f"{wh.root}/corrupt/{LOG_JOB}", batch_id)
+            wh.keep_corrupt(bad, LOG_JOB, batch_id)
             wh.topics.publish(logs.log_outputs(repair_batch(wh, good, batch_id)), LOG_JOB, batch_id)
 
     return wh.start(LOG_JOB, decoded, write)
@@ -271,8 +275,10 @@ def base_db(wh: Warehouse, rules: Callable[[], DataFrame]) -> StreamingQuery:
 
     def write(batch: DataFrame, batch_id: int) -> None:
         current = rules()
-        routed = routing.route(routing.clean(batch.where(F.col(CORRUPT).isNull())), current)
-        with persisted(routed):
+        good, bad = split_corrupt(batch)
+        routed = routing.route(routing.clean(good), current)
+        with persisted(batch), persisted(routed):
+            wh.keep_corrupt(bad, DB_JOB, batch_id)
             create_dim_tables(wh, current)
             seq = F.coalesce("ts", F.lit(0)).alias("seq")
             wh.dims.upsert(routing.dim_rows(routed.withColumn("seq", seq), "seq"), batch_id)
@@ -394,18 +400,22 @@ def product_stats(wh: Warehouse, window: str = stats.WINDOW) -> StreamingQuery:
 def capture_table(wh: Warehouse, topic: str, table: str, pk: str = "id") -> StreamingQuery:
     """Connector envelopes of one table, snapshot first and then changes, into a stored table."""
     job = f"capture_{table}"
-    changes = cdc.decode_envelope(wh.read(topic, job)).where(F.col(CORRUPT).isNull() & (F.col("table") == table))
-    rows = changes.select(
+    changes = cdc.decode_envelope(wh.read(topic, job))
+    rows = changes.where(F.col(CORRUPT).isNotNull() | (F.col("table") == table)).select(
         F.coalesce("ts", F.lit(0)).alias("seq"),
         F.lit(table).alias("sink_table"),
         cdc.row_image()[pk].alias("pk"),
         "type",
         cdc.row_image().alias("data"),
+        CORRUPT,
     )
     store = DimTables(wh.spark, f"{wh.root}/captured/{table}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.upsert(batch, batch_id)
+        with persisted(batch):
+            good, bad = split_corrupt(batch)
+            wh.keep_corrupt(bad, job, batch_id)
+            store.upsert(good, batch_id)
         if (batch_id + 1) % wh.compact_every == 0:
             store.compact(table)
 

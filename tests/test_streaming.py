@@ -8,6 +8,7 @@ from conftest import SF_DIR, log
 from pyspark.sql import functions as F
 
 from sparkmart import schemas
+from sparkmart.functions.jsonutil import CORRUPT
 from sparkmart.operators import logs, stats, visitors
 from sparkmart.plans import queries
 from sparkmart.plans.fixtures import AS_OF, Fixtures
@@ -243,7 +244,7 @@ def test_unique_visitor_is_emitted_at_once_and_once(spark, wh):
 def test_rule_changes_take_effect_before_the_next_batch(spark, wh):
     rules = jobs.rules_from_topic(wh, "ods_rules")
     put_text(wh, "ods_rules", [rule_text("t", "kafka", "old", ["id"])], 0)
-    put_text(wh, jobs.RAW_DB, [json.dumps({"table": "t", "type": "insert", "data": {"id": 1}})], 0)
+    put_text(wh, jobs.RAW_DB, [json.dumps({"table": "t", "type": "insert", "data": {"id": 1}}), "{broken"], 0)
     run(jobs.base_db(wh, rules))
     newer = json.loads(rule_text("t", "kafka", jobs.CART_INFO, ["id", "n"])) | {"op": "u", "ts_ms": 2}
     put_text(wh, "ods_rules", [json.dumps(newer)], 1)
@@ -251,6 +252,7 @@ def test_rule_changes_take_effect_before_the_next_batch(spark, wh):
     run(jobs.base_db(wh, rules))
     stored = spark.read.parquet(f"{wh.root}/topics/base_db")
     assert sorted((r.topic, r.value) for r in stored.collect()) == [(jobs.CART_INFO, '{"id":2,"n":3}'), ("old", '{"id":1}')]
+    assert [r[0] for r in spark.read.parquet(f"{wh.root}/corrupt/base_db").select(CORRUPT).collect()] == ["{broken"]
 
 
 def test_captured_table(spark, wh):
@@ -261,13 +263,14 @@ def test_captured_table(spark, wh):
         images = {"before": row} if op == "d" else {"after": row}
         return json.dumps({"op": op, "source": {"db": "d", "table": "student"}, "ts_ms": ts, **images})
 
-    put_text(wh, "ods_students", [envelope("r", 1, "a", 0), envelope("r", 2, "b", 0)], 0)
+    put_text(wh, "ods_students", [envelope("r", 1, "a", 0), envelope("r", 2, "b", 0), "{broken"], 0)
     run(jobs.capture_table(wh, "ods_students", "student"))
     put_text(wh, "ods_students", [envelope("u", 1, "c", 5), envelope("d", 2, "b", 6), envelope("c", 3, "d", 7)], 1)
     run(jobs.capture_table(wh, "ods_students", "student"))
     table = DimTables(spark, f"{wh.root}/captured/student")
     rows = table.read("student", columns=["id", "name"], apply_deletes=True)
     assert sorted(map(tuple, rows.collect())) == [("1", "c"), ("3", "d")]
+    assert [r[0] for r in spark.read.parquet(f"{wh.root}/corrupt/capture_student").select(CORRUPT).collect()] == ["{broken"]
 
 
 def test_raw_logs_are_collected_and_land_by_day(spark, wh):
