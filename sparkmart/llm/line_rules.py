@@ -17,9 +17,9 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 3
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 
-#: Lines of at least this many words have to end like a sentence.
+#: Lines of at least this many words have to have the end of a sentence somewhere.
 MIN_SENTENCE_WORDS = 6
-SENTENCE_END = r"[.!?:;,…。！？\"'”’)\]]\s*$"
+SENTENCE_END = r"[.!?:;…。！？][\"'”’)\]]*(\s|$)"
 #: Separators between menu entries.
 NAVIGATION = r"(\s[|»•>·]\s.*){3}"
 #: A line with more than one such character for this many words is markup or shouting.
@@ -93,9 +93,9 @@ def base_counts(docs: DataFrame, key: str = "doc_id") -> DataFrame:
 def line_fails(line: Column) -> Column:
     """Whether a line with a word fails a rule."""
     n_words = F.length(F.regexp_replace(line, WORD, "w")) - F.length(F.regexp_replace(line, WORD, ""))
-    unfinished = (n_words >= MIN_SENTENCE_WORDS) & ~line.rlike(SENTENCE_END)
+    no_sentence = (n_words >= MIN_SENTENCE_WORDS) & ~line.rlike(SENTENCE_END)
     noisy = _count_of(line, NOISE_CHARS) * WORDS_PER_NOISE > n_words + 2 * WORDS_PER_NOISE
-    return unfinished | noisy | line.rlike(NAVIGATION) | line.rlike(BOILERPLATE)
+    return no_sentence | noisy | line.rlike(NAVIGATION) | line.rlike(BOILERPLATE)
 
 
 def clean_lines(docs: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -51,7 +51,7 @@ WITH docs AS (
   FROM (SELECT id, unnest(lines) AS l FROM worded)
 ), kept_lines AS (
   SELECT id, sum(chars) AS line_chars, sum(CASE WHEN
-      (nw >= 6 AND NOT regexp_matches(l, '[.!?:;,…。！？"''”’)\]]\s*$'))
+      (nw >= 6 AND NOT regexp_matches(l, '[.!?:;…。！？]["''”’)\]]*(\s|$)'))
       OR noise * 3 > nw + 6 OR regexp_matches(l, '{_NAV}') OR regexp_matches(l, '{_BOILER}', 'i')
       THEN chars ELSE 0 END) AS lost_chars
   FROM judged GROUP BY id
