@@ -54,6 +54,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_held: dict[str, Callable[[], None]] = {}
+
+
+def hold(name: str = "", free: Callable[[], None] | None = None) -> None:
+    """In a worker: keep what an operator remembers between tasks, and free what others do.
+
+    Workers outlive their tasks, so one that turns to another operator would keep both.
+    """
+    for other in [n for n in _held if n != name]:
+        _held.pop(other)()
+    if free is not None:
+        _held[name] = free
+
+
 def fold(key: str, buckets: int) -> Column:
     """crc32 of an id's decimal text, modulo ``buckets``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % buckets
@@ -109,7 +123,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def code_runs(texts: Sequence[str], size: int = 2**20, overlap: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def code_runs(texts: Sequence[str], size: int = 2**18, overlap: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Code points of whole texts in runs of bounded length: (codes, first positions, text numbers).
 
     Non-empty texts only.  A text longer than ``size`` goes on in the next run, ``overlap``

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import largest_counts, mixed, written
+from sparkmart.llm.common import hold, largest_counts, mixed, written
 from sparkmart.llm.graph import connected_components
 
 N = 4
@@ -98,8 +98,9 @@ def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     return out
 
 
-def _text_batches(batches, limit: int = 2**22) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def _text_batches(batches, limit: int = 2**20) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Slices of batches with at most so many characters, or one text."""
+    hold()
     for batch in batches:
         texts = [t or "" for t in batch.column("text").to_pylist()]
         at = size = 0

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import appended, code_runs, mixed, share_of_ids
+from sparkmart.llm.common import appended, code_runs, hold, mixed, share_of_ids
 
 UNKNOWN = "und"
 GRAM = 4
@@ -47,6 +47,7 @@ def gram_hashes(texts: list[str]):
     Text is lower-cased and what is no letter becomes a space; two spaces before and after
     make n-grams of the shortest words too.
     """
+    hold()
     padded = [f"  {t.lower()}  " if t else "" for t in texts]
     for codes, starts, numbers in code_runs(padded, overlap=GRAM - 1):
         letters = _letters()[codes]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import appended, written
+from sparkmart.llm.common import appended, hold, written
 
 CAPACITY = 2048
 END_ID = 0
@@ -36,6 +36,8 @@ _parts = re.compile(r"[ \n]*+[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[.,!?;:|&%$#*])|[ \n]*+
 _other_space = re.compile(r"[^\S \n]").search
 #: Parts remembered in each of two generations, and the length of the longest.
 CACHED, CACHED_LENGTH = 250_000, 64
+#: Characters cut and looked up at a time.
+CHARS_AT_ONCE = 2**20
 #: A character that joins parts to be encoded at once; no id has it beside any other character.
 JOINT = "\x00"
 
@@ -77,18 +79,28 @@ class Encoder:
         return out
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
+        out: list[bytes] = []
+        at = size = 0
+        for i, text in enumerate(texts):
+            if size and size + len(text) > CHARS_AT_ONCE:
+                out += self._encode(texts[at:i])
+                at, size = i, 0
+            size += len(text)
+        return out + self._encode(texts[at:])
+
+    def _encode(self, texts: Sequence[str]) -> list[bytes]:
         cut = [[t] if _other_space(t) else _parts(t) for t in texts]
-        wanted = set(chain.from_iterable(cut)).difference(self.known)
-        again = {x: self.older[x] for x in wanted.intersection(self.older)}
-        new = self.fresh(list(wanted.difference(again)))
-        ids = {**new, **again}
-        lookup = {**self.known, **ids} if len(ids) > CACHED else self.known
-        if lookup is self.known:
-            self.known.update(ids)
-        out = [b"".join(map(lookup.__getitem__, parts)) for parts in cut]
-        long = [x for x in new if len(x) > CACHED_LENGTH]
-        for x in long:
-            self.known.pop(x, None)
+        get = self.known.get
+        found = [list(map(get, parts)) for parts in cut]
+        missing = {x for parts, ids in zip(cut, found) if None in ids for x, i in zip(parts, ids) if i is None}
+        ids = {x: self.older[x] for x in missing.intersection(self.older)}
+        new = self.fresh(list(missing.difference(ids)))
+        ids.update(new)
+        out = [
+            b"".join([ids[x] if i is None else i for x, i in zip(parts, some)] if None in some else some)
+            for parts, some in zip(cut, found)
+        ]
+        self.known.update((x, i) for x, i in ids.items() if len(x) <= CACHED_LENGTH)
         if len(self.known) > CACHED:
             self.older, self.known = self.known, {}
         return out
@@ -98,6 +110,7 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
+    hold("tokens", _encoders.clear)
     if path not in _encoders:
         _encoders[path] = Encoder(path)
     return _encoders[path]

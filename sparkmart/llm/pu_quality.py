@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import appended, share_of_ids
+from sparkmart.llm.common import appended, hold, share_of_ids
 
 #: Bounds of the training sample: documents to expect in it.
 MAX_POSITIVE, MAX_UNLABELLED = 4000, 8000
@@ -41,7 +41,7 @@ def _class_table() -> np.ndarray:
 
 
 _CLASSES = _class_table()
-_SEGMENT = 2**20
+_SEGMENT = 2**18
 
 
 def features(text: str) -> np.ndarray:
@@ -123,6 +123,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int =
 def _vectors(batches) -> Iterator:
     import pyarrow as pa
 
+    hold()
     for batch in batches:
         vectors = [features(t or "").tobytes() for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("positive"), pa.array(vectors, pa.binary())], names=["doc_id", "positive", "vector"])
@@ -166,6 +167,7 @@ def classify(docs: DataFrame, model: QualityModel | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def compute(batch):
+        hold()
         model, texts = shared.value, batch.column("text").to_pylist()
         if model is None:
             score = np.ones(len(texts))

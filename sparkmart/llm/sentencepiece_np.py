@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import appended
+from sparkmart.llm.common import appended, hold
 
 SPACE = "▁"
 #: Fixed values of the model format: model kinds and piece kinds.
@@ -332,11 +332,16 @@ class Codec:
 
 
 @functools.lru_cache(maxsize=2)
-def codec(path: str) -> Codec:
+def _codec(path: str) -> Codec:
     with open(path, "rb") as file:
         return Codec(file.read())
 
 
+def codec(path: str) -> Codec:
+    hold("pieces", _codec.cache_clear)
+    return _codec(path)
+
+
 def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """All rows and columns with ``ids``, the ids of the whole text (replacing a column of that name).
 
