@@ -365,8 +365,8 @@ def qualifying(rows: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFr
     placed = written(_with_groups(rows.select("token", "id", "n", "pos"), groups), "placed")
     facts = _with_groups(classes.where("n > 0").select("id", "n", "last"), groups)
     group_facts = facts.groupBy("g").agg(
-        F.min("last").alias("upto"), F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("members")
-    )
+        F.min(_unsigned("last")).alias("upto"), F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("members")
+    ).withColumn("upto", _unsigned("upto"))  # the least in the common order, as a token again
     matrix = placed.select("token", "g").distinct()
     several = matrix.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
     matrix = written(matrix.join(several, "token").join(group_facts, "g"), "matrix")

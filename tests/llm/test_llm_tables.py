@@ -216,6 +216,22 @@ def test_jaccard_against_brute_force(spark):
     assert collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_components(rows)
 
 
+def test_group_bound_follows_the_common_order(spark):
+    """Of the group {x, y}, x has a prefix that ends in a frequent token and y a shorter one; z links with y only."""
+    a, f = np.arange(1, 24, dtype=np.uint64), np.arange(100, 185, dtype=np.uint64)
+    sets = {1: [*a[:15], *f], 2: [*a, *f[:77]], 3: [*a[8:], *f[:77]]}
+    tokens = {k: jaccard.ordered(np.array(v, dtype=np.uint64), f) for k, v in sets.items()}
+    links = {(p, q) for p in sets for q in sets if p < q and 100 * len({*sets[p]} & {*sets[q]}) >= jaccard.PERCENT * len({*sets[p]} | {*sets[q]})}
+    assert links == {(1, 2), (2, 3)}
+    firsts = {k: t[: jaccard.prefix_length(len(t))] for k, t in tokens.items()}
+    assert [bool(p[-1] >= jaccard.FREQUENT) for p in firsts.values()] == [True, False, False]
+    rows = [(k, len(tokens[k]), bytearray(p.tobytes()), int(p[-1:].view(np.int64)[0])) for k, p in firsts.items()]
+    classes = spark.createDataFrame(rows, "id long, n long, prefix binary, last long")
+    groups = spark.createDataFrame([(1, 1), (2, 1)], "id long, component long")
+    found = jaccard.qualifying(jaccard.shared_rows(jaccard.prefix_rows(classes)), classes, groups)
+    assert {tuple(r) for r in found.collect()} == {(3, 1)}
+
+
 def test_jaccard_empty_and_alone(spark):
     empty = spark.createDataFrame([], DOC)
     assert jaccard.link_components(empty).count() == 0
