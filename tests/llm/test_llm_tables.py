@@ -351,6 +351,20 @@ def test_language_model_learns(small_model):
     assert sums[0] > sums[1]
 
 
+def test_language_model_learns_from_all_tokens(spark, monkeypatch):
+    """With next to nothing in the sample, what the documents outside it say is learned all the same."""
+    monkeypatch.setattr(neural_lm, "SAMPLE_TOKENS", 1e-6)
+    monkeypatch.setattr(neural_lm, "TASK_TOKENS", 20_000, raising=False)  # several tasks a round
+    circle = " ".join("abcdefghij")
+    docs = spark.createDataFrame([(i, " ".join([circle] * 10)) for i in range(2000)], DOC)
+    model, _ = neural_lm.train(docs)
+    a, b, sums = model.tables()
+    numbers = {w: i for i, w in enumerate(model.vocabulary.words)}
+    for before, last, after in ("abc", "efg", "ija"):
+        h2, h1, w = numbers[before], numbers[last], numbers[after]
+        assert np.exp(a[h1, w] + b[h2, w] - sums[h1, h2]) > 0.5
+
+
 def test_language_model_without_training(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], DOC)
     model, counts = neural_lm.train(docs.limit(0))
