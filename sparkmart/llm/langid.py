@@ -27,6 +27,8 @@ SAMPLE_PER_LANGUAGE = 2000
 #: An n-gram belongs to a language in which it has this share of all n-grams; so a language
 #: has at most 1 / MIN_SHARE of them, whatever the size of the corpus.
 MIN_SHARE = 2e-5
+#: The share of a language's own training texts that may score below its low score.
+LOW_SHARE = 0.05
 
 
 @dataclass(frozen=True)
@@ -88,6 +90,16 @@ def _counted(batch: pa.RecordBatch):
             )
 
 
+def _sample(docs: DataFrame, key: str, per_language: int) -> tuple[list[str], DataFrame]:
+    known = docs.select(key, "text", "lang").where("text is not null and lang is not null")
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    languages = sorted(sizes)
+    if not languages:
+        return [], known.select("text", "lang")
+    shares = F.create_map(*[F.lit(x) for name in languages for x in (name, per_language / sizes[name])])
+    return languages, known.where(share_of_ids(key, 2) < F.element_at(shares, F.col("lang"))).select("text", "lang")
+
+
 def train(docs: DataFrame, key: str = "doc_id", per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageFilter:
     """Learn from the rows of ``docs`` that have text and lang.
 
@@ -95,14 +107,9 @@ def train(docs: DataFrame, key: str = "doc_id", per_language: int = SAMPLE_PER_L
     its language); n-grams are counted by Spark, and what comes to the driver is bounded by
     `MIN_SHARE`.  Nothing to learn from gives a filter without languages.
     """
-    spark = docs.sparkSession
-    known = docs.select(key, "text", "lang").where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    languages = sorted(sizes)
+    languages, sample = _sample(docs, key, per_language)
     if not languages:
         return LanguageFilter([], np.zeros((1, 1), dtype=np.uint8), np.zeros(0))
-    shares = F.create_map(*[F.lit(x) for name in languages for x in (name, per_language / sizes[name])])
-    sample = known.where(share_of_ids(key, 2) < F.element_at(shares, F.col("lang"))).select("text", "lang")
     counts = sample.mapInArrow(lambda batches: (c for b in batches for c in _counted(b)), "lang string, gram long, n long")
     grams = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     totals = grams.groupBy("lang").agg(F.sum("n").alias("total"))
@@ -152,3 +159,15 @@ def predict(docs: DataFrame, model: LanguageFilter) -> DataFrame:
         return [names, np.where(total > 0, score, 0.0)]
 
     return appended(docs, [("lang_pred", "string"), ("score", "double")], compute)
+
+
+def low_scores(docs: DataFrame, model: LanguageFilter, key: str = "doc_id", per_language: int = SAMPLE_PER_LANGUAGE) -> dict[str, float]:
+    """By language, the score that `LOW_SHARE` of its training texts stay below, those taken for another language aside.
+
+    Scores compare within a language only: with thousands of letters hardly any n-gram is
+    frequent enough for the filter, so that the best texts of such a language score low.
+    """
+    if not model.languages:
+        return {}
+    own = predict(_sample(docs, key, per_language)[1], model).where("lang_pred = lang")
+    return {r["lang"]: r["low"] for r in own.groupBy("lang").agg(F.percentile_approx("score", LOW_SHARE).alias("low")).collect()}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import random
 import re
 
 import __spark_entry__ as contract
@@ -100,5 +101,19 @@ def test_stages_with_odd_rows(spark):
         assert stage(spark, empty, SF).count() == 0
 
 
+def test_language_with_thousands_of_letters(spark):
+    """Clean texts of a large alphabet stay, although hardly any of their n-grams is frequent; gibberish goes."""
+    rng = random.Random(6)
+    letters = [chr(0x4E00 + i) for i in range(3000)]
+    words = ["".join(rng.choices(letters, k=rng.randint(1, 3))) for _ in range(6000)]
+    zipf = [1 / (i + 1) for i in range(len(words))]
+    rows = [(i, "".join(rng.choices(words, zipf, k=300)), "zh") for i in range(400)]
+    rows += [(1000 + i, " ".join(rng.choices(["the", "cat", "sat", "on", "a", "mat", "today"], k=60)), "en") for i in range(100)]
+    rows += [(2000 + i, "".join(rng.choices("bcdfghjklmnpqrstvwxz", k=300)), None) for i in range(100)]
+    kept = corpus_pipeline.language(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), SF)
+    found = collections.Counter(r["lang"] for r in kept.collect())
+    assert found["zh"] >= 396 and found["en"] == 100 and found[None] <= 2
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
