@@ -400,12 +400,18 @@ def qualifying(rows: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFr
 
 
 def link_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles and component_id for every row of ``docs`` (doc_id, text).
+    """doc_id, n_shingles and component_id for every row of ``docs`` (doc_id, text), as in `linked_rows`."""
+    return linked_rows(docs).select("doc_id", "n_shingles", "component_id")
+
+
+def linked_rows(docs: DataFrame) -> DataFrame:
+    """doc_id, key (`row_key`), n_shingles, component_id and component for every row of ``docs`` (doc_id, text).
 
     component_id is the smallest doc_id that can be reached over links, the row's own included;
     a null doc_id counts for nothing there, so that it is null only if all reachable ids are.
     A null text or one without a word has no shingle and links with nothing, not even its like.
     Tokens, sets and rows are named by 64- and 128-bit hashes, taken as equal only if equal.
+    Where ids repeat, components may share a component_id; ``component`` tells them apart.
     """
     docs = docs.select("doc_id", "text")
     frequent = frequent_tokens(docs)
@@ -439,6 +445,7 @@ def link_components(docs: DataFrame) -> DataFrame:
 
     named = _with_groups(classes.select("id", "f1", "f2", "n", "least_doc"), groups)
     smallest = named.groupBy("g").agg(F.min("least_doc").alias("component_id"))
-    by_set = named.join(smallest, "g").select("f1", "f2", "n", "component_id")
-    out = found.select("doc_id", "n", "f1", "f2").join(by_set, ["f1", "f2", "n"], "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", F.when(F.col("n") == 0, F.col("doc_id"))).alias("component_id"))
+    by_set = named.join(smallest, "g").select("f1", "f2", "n", "component_id", F.col("g").alias("component"))
+    out = found.select("doc_id", "key", "n", "f1", "f2").join(by_set, ["f1", "f2", "n"], "left")
+    component_id = F.coalesce("component_id", F.when(F.col("n") == 0, F.col("doc_id"))).alias("component_id")
+    return out.select("doc_id", "key", F.col("n").alias("n_shingles"), component_id, "component")

@@ -115,5 +115,13 @@ def test_language_with_thousands_of_letters(spark):
     assert found["zh"] >= 396 and found["en"] == 100 and found[None] <= 2
 
 
+def test_near_duplicates_with_repeated_ids(spark):
+    """Rows of one id are judged each by its own text, and wordless rows of one id all stay."""
+    text = lambda c: " ".join(f"{c}{i}" for i in range(40))
+    rows = [(2, text("b")), (5, text("b")), (5, text("c")), (5, text("d")), (5, text("d")), (7, text("d")), (8, " "), (8, " "), (8, None), (None, text("b"))]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert as_rows(kept) == collections.Counter([rows[0], rows[2], rows[3], *rows[6:]])
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
