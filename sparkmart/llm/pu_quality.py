@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkmart.llm.common import appended, hold, share_of_ids
+from sparkmart.llm.common import appended, hold, share_of_ids, written
 
 #: Bounds of the training sample: documents to expect in it.
 MAX_POSITIVE, MAX_UNLABELLED = 4000, 8000
@@ -132,12 +132,14 @@ def _vectors(batches) -> Iterator:
 def train(docs: DataFrame, labels: DataFrame, positives: int = MAX_POSITIVE, unlabelled: int = MAX_UNLABELLED) -> QualityModel | None:
     """Learn from ``docs`` (doc_id, text) and ``labels`` (doc_id, quality), both already restricted.
 
+    Labels of documents that are not in ``docs`` count for nothing.
     Trusted positives are documents with label 1 (of several labels, the greatest); the
     unlabelled texts are a sample of all documents.  The prior is the smoothed share of label 1
     among the labels, which is the only use of label 0.  Both samples take ids by a hash and
     are bounded by parameters.  None if there is no positive or no document.
     """
     marked = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    marked = written(marked.join(docs.select("doc_id"), "doc_id", "left_semi"), "labels")
     counts = {r["quality"]: r["n"] for r in marked.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     n_docs = docs.count()
     n_positive = counts.get(1, 0)

@@ -123,5 +123,14 @@ def test_near_duplicates_with_repeated_ids(spark):
     assert as_rows(kept) == collections.Counter([rows[0], rows[2], rows[3], *rows[6:]])
 
 
+def test_quality_labels_of_documents_only(spark):
+    """Labels of documents that are not in the table count for nothing."""
+    docs = common.table(spark, SF, "documents").where("doc_id % 2 = 0")
+    labels = common.table(spark, SF, "labels").select("doc_id", "quality")
+    more = spark.range(10**6, 10**6 + 500).select(F.col("id").alias("doc_id"), F.lit(0).cast(labels.schema["quality"].dataType).alias("quality"))
+    own = labels.join(docs, "doc_id", "left_semi")
+    assert pu_quality.train(docs, labels.unionByName(more)).prior == pu_quality.train(docs, own).prior
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
