@@ -4,7 +4,7 @@ Patterns find what has the form of a secret.  The entropy scan finds what merely
 over every candidate string (a long run of key characters) a window slides, character counts
 are updated by the character that enters and the one that leaves, and a window whose Shannon
 entropy exceeds the bound of its character class marks its place.  Known harmless forms are
-suppressed by an allow-list, in the entropy scan only.
+suppressed by an allow-list, in the entropy scan only, and only the part that it matches.
 """
 
 from __future__ import annotations
@@ -32,13 +32,15 @@ ENTROPY = "entropy"
 WINDOW = 20
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 HAS_DIGIT = re.compile(r"[0-9]")
-#: Bits a character that a window has to reach, by the narrowest class that holds the string.
+#: Bits a character that a window has to reach, by the narrowest class that holds the string or the window.
 #: Strings of letters alone are words, however long, and are never secrets by entropy.
 BOUNDS = {"digits": math.inf, "hex": 3.0, "one_case": 3.6, "mixed": 3.8}
+#: The parts of a candidate that are harmless, and what is harmless as a whole: words with separators.
 ALLOWED = re.compile(
-    r"(?i)([0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}"  # UUID
-    r"|.*example.*|.*(abcdefgh|01234567|12345678).*|sha(1|256|384|512)-.*|(/?[a-z]+[0-9]{0,4}[/_=-])+[a-z0-9]{0,12})"
+    r"(?i)(?<![0-9a-f])[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}(?![0-9a-f])"  # UUID
+    r"|(?<![a-z0-9])sha(1|256|384|512)-[a-z0-9+/]+={0,2}|(?<![a-z0-9+])[a-z0-9+]*(example|abcdefgh|01234567|12345678)[a-z0-9+]*"
 )
+WORDS = re.compile(r"(?i)(/?[a-z]+[0-9]{0,4}[/_=-])+[a-z0-9]{0,12}")
 
 _n_log_n = [n * math.log2(n) if n else 0.0 for n in range(WINDOW + 1)]
 
@@ -65,13 +67,20 @@ def char_class(candidate: str) -> str | None:
     return "one_case" if letters.islower() or letters.isupper() else "mixed"
 
 
-def high_windows(candidate: str, bound: float) -> Iterator[tuple[int, int]]:
-    """Merged spans of the windows whose entropy reaches the bound.
+def _limit_of(window: str) -> float:
+    """What the S of `high_windows` may be in a window by itself."""
+    kind = char_class(window)
+    return -math.inf if kind is None else (math.log2(WINDOW) - BOUNDS[kind]) * WINDOW + 1e-9
+
+
+def high_windows(candidate: str, bound: float, by_window: bool = False) -> Iterator[tuple[int, int]]:
+    """Merged spans of the windows whose entropy reaches the bound, or with ``by_window`` that of their own class.
 
     With n of the W characters equal, a character adds n log n to S, and the entropy is
     log W - S / W: one step changes the terms of two characters only.
     """
-    limit = (math.log2(WINDOW) - bound) * WINDOW
+    limit = (math.log2(WINDOW) - bound) * WINDOW + 1e-9
+    widest = (math.log2(WINDOW) - min(BOUNDS.values())) * WINDOW + 1e-9 if by_window else limit
     counts: dict[str, int] = {}
     total, start, end = 0.0, -1, -1
     for i, c in enumerate(candidate):
@@ -79,7 +88,7 @@ def high_windows(candidate: str, bound: float) -> Iterator[tuple[int, int]]:
         counts[c] = n + 1
         total += _n_log_n[min(n + 1, WINDOW)] - _n_log_n[n]
         if i >= WINDOW - 1:
-            if total <= limit + 1e-9:
+            if total <= limit or (total <= widest and total <= _limit_of(candidate[i - WINDOW + 1 : i + 1])):
                 if i - WINDOW + 1 > end:
                     if start >= 0:
                         yield start, end
@@ -96,14 +105,24 @@ def high_windows(candidate: str, bound: float) -> Iterator[tuple[int, int]]:
 def entropy_spans(text: str) -> list[tuple[int, int, str]]:
     found = []
     for m in CANDIDATE.finditer(text):
-        candidate = m.group()
-        kind = char_class(candidate)
-        if kind is None or BOUNDS[kind] == math.inf or ALLOWED.fullmatch(candidate):
-            continue
-        found += [(m.start() + a, m.start() + b, ENTROPY) for a, b in high_windows(candidate, BOUNDS[kind])]
+        for at, part in unallowed(m.group()):
+            kind = char_class(part)
+            if kind is None or BOUNDS[kind] == math.inf or WORDS.fullmatch(part):
+                continue
+            at += m.start()
+            found += [(at + a, at + b, ENTROPY) for a, b in high_windows(part, BOUNDS[kind], by_window=True)]
     return found
 
 
+def unallowed(candidate: str) -> Iterator[tuple[int, str]]:
+    """What the allow-list leaves of a candidate, with its places, where a window fits in."""
+    at = 0
+    for a, b in [*(m.span() for m in ALLOWED.finditer(candidate)), (len(candidate), len(candidate))]:
+        if a - at >= WINDOW:
+            yield at, candidate[at:a]
+        at = b
+
+
 _order = {kind: i for i, kind in enumerate((*KINDS, ENTROPY))}
 
 

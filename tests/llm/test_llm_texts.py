@@ -189,6 +189,23 @@ def test_entropy_leaves_words_alone():
         assert secrets.entropy_spans(text) == []
 
 
+def test_entropy_of_what_separators_join():
+    """A prefix changes nothing for the secret behind it, and neither does a harmless part beside it."""
+    rng = random.Random(5)
+    found = {"": 0, "sig=": 0}
+    for _ in range(300):
+        key = "".join(rng.choices("0123456789abcdef", k=26))
+        for prefix in found:
+            found[prefix] += bool(secrets.entropy_spans(prefix + key))
+    assert found["sig="] >= found[""] > 290
+    key = "".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=40))
+    for text in ("example/" + key, key + "_12345678", "550e8400-e29b-41d4-a716-446655440000=" + key):
+        marked = {i for a, b, _ in secrets.entropy_spans(text) for i in range(a, b)}
+        assert set(range(text.index(key), text.index(key) + 40)) <= marked
+    for text in ("sha256-" + key + "abc=", "docs/example/getting-started-guide-for-2021", "550e8400-e29b-41d4-a716-446655440000"):
+        assert secrets.entropy_spans(text) == []
+
+
 def test_redact(spark):
     docs = spark.createDataFrame([(1, "password=hunter22 ok", 20, "a"), (2, None, 5, "b"), (3, "fine", 99, "c")], "doc_id long, text string, n_chars long, mask string")
     got = {r["doc_id"]: (r["text"], r["n_chars"], r["mask"]) for r in secrets.redact(docs).collect()}
