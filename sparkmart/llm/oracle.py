@@ -86,4 +86,41 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 FROM scored QUALIFY rank <= 5
 """
 
-SQL = {"op1_chat_format": OP1, "op4_line_quality": OP4, "op8_exact_topk": OP8}
+OP11 = """
+WITH own AS (
+  SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')}
+    ORDER BY turn NULLS FIRST, sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
+), taken AS (
+  SELECT conv_id, turns, xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)]))) % 9 AS h
+  FROM own, crc
+), rebuilt AS (
+  SELECT t.conv_id, list_concat(coalesce(b.turns[1:t.h], []), t.turns[t.h + 1:]) AS turns
+  FROM taken t LEFT JOIN own b ON b.conv_id = t.conv_id - t.conv_id % 5
+), members AS (
+  SELECT conv_id, d, turns[1:d] AS prefix, d = len(turns) AS ends, CASE WHEN d > 0 THEN strlen(turns[d].text) ELSE 0 END AS size
+  FROM rebuilt, unnest(range(0, len(turns) + 1)) AS r(d)
+), nodes AS (
+  SELECT prefix, d, min(conv_id) AS conv_id, count(*) AS n, any_value(size) AS size,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY prefix, d
+), families AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, count(c.d) AS children
+  FROM nodes n LEFT JOIN nodes p ON p.d = n.d - 1 AND p.prefix = n.prefix[1:n.d - 1]
+  LEFT JOIN nodes c ON c.d = n.d + 1 AND c.prefix[1:n.d] = n.prefix
+  GROUP BY ALL
+), below AS (
+  SELECT prefix[1:e] AS prefix, e AS d, sum((n - 1) * size) AS saved, count(*) FILTER (children = 0) AS leaves
+  FROM families, unnest(range(0, d + 1)) AS r(e) GROUP BY ALL
+)
+SELECT f.conv_id, f.d AS depth, f.parent_conv_id, f.n AS n_convs, f.children AS n_children, b.leaves AS n_leaves,
+  CAST(b.saved AS BIGINT) AS saved_tokens, f.ends_sha256
+FROM families f JOIN below b USING (prefix, d)
+"""
+
+SQL = {"op1_chat_format": OP1, "op4_line_quality": OP4, "op8_exact_topk": OP8, "op11_prefix_trie": OP11}

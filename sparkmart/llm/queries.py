@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, jaccard, langid, line_rules, neural_lm, packing, pu_quality, secrets, sentencepiece_np, topk
+from sparkmart.llm import chat, jaccard, langid, line_rules, neural_lm, packing, prefix_trie, pu_quality, secrets, sentencepiece_np, topk
 from sparkmart.llm.common import fold, table
 
 #: The fold of documents that nothing is learned from, in queries 2 and 3.
@@ -105,3 +105,9 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = (fold("doc_id", LM_FOLDS) == LM_HELD_OUT).alias("held_out")
     scored = neural_lm.score(docs, model, counts)
     return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every distinct prefix of the rebuilt conversations."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
