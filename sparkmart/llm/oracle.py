@@ -123,4 +123,39 @@ SELECT f.conv_id, f.d AS depth, f.parent_conv_id, f.n AS n_convs, f.children AS
 FROM families f JOIN below b USING (prefix, d)
 """
 
-SQL = {"op1_chat_format": OP1, "op4_line_quality": OP4, "op8_exact_topk": OP8, "op11_prefix_trie": OP11}
+OP12 = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents
+), words AS (
+  SELECT id, lang, source, translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT *, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM docs)
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT id) >= 30
+), langs AS (
+  SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+), sources AS (
+  SELECT DISTINCT lang, source FROM docs
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL
+), cells AS (
+  SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p
+  FROM (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n FROM sources s JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term))
+  JOIN langs USING (lang)
+), valued AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(sum(abs(x.p - y.p)), 0) AS value
+  FROM sources a JOIN sources b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN cells x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN cells y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  WHERE x.term IS NULL OR y.term IS NOT NULL GROUP BY ALL
+  UNION ALL
+  SELECT c.lang, c.source, 'term', c.term, c.p - (1 + (1000000000 * (k.n + 5)) // (g.total + 5 * g.v)) AS value
+  FROM cells c JOIN kept k USING (lang, term) JOIN langs g USING (lang) WHERE c.n > 0 AND value > 0
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM valued QUALIFY part = 'pair' OR rank <= 50
+"""
+
+SQL = {
+    "op1_chat_format": OP1, "op4_line_quality": OP4, "op8_exact_topk": OP8, "op11_prefix_trie": OP11, "op12_source_divergence": OP12,
+}

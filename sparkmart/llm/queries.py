@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkmart.llm import chat, jaccard, langid, line_rules, neural_lm, packing, prefix_trie, pu_quality, secrets, sentencepiece_np, topk
+from sparkmart.llm import (
+    chat, jaccard, langid, line_rules, neural_lm, packing, prefix_trie, pu_quality, secrets, sentencepiece_np, source_divergence, topk,
+)
 from sparkmart.llm.common import fold, table
 
 #: The fold of documents that nothing is learned from, in queries 2 and 3.
@@ -111,3 +113,9 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every distinct prefix of the rebuilt conversations."""
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language are from each other, and the terms that they use most beyond it."""
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
