@@ -156,6 +156,76 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
 FROM valued QUALIFY part = 'pair' OR rank <= 50
 """
 
+_CRC = """xor(4294967295, list_reduce(
+    list_concat([4294967295], list_transform(string_split(symbols, ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: xor(c >> 8, steps[1 + (xor(c, b) & 255)])))"""
+
+OP13 = rf"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
+), cut AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+    regexp_replace(regexp_replace(lower(rest), '[0-9]', '0', 'g'), '[^a-z0/.\-_?=&#%:~+@]', '*', 'g') || '$' AS symbols
+  FROM cut
+), ruled AS (
+  SELECT *, CASE WHEN ends_with('.' || host, '.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN ends_with('.' || host, '.com') AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM parts
+), told AS (
+  SELECT *, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS ruled FROM ruled
+), labelled AS (
+  SELECT symbols, ruled, {_CRC} % 5 = 0 AS calibrates FROM told, crc WHERE ruled IS NOT NULL
+), grams AS (
+  SELECT substr('^' || symbols, i - k, k) AS context, substr('^' || symbols, i, 1) AS symbol,
+    count(*) FILTER (ruled = 'allow') AS a, count(*) FILTER (ruled = 'block') AS b
+  FROM labelled, unnest(range(2, 2 + length(symbols))) AS r(i), unnest([0, 1, 2, 3, 4]) AS o(k)
+  WHERE k < i AND NOT calibrates GROUP BY ALL
+), states AS (
+  SELECT context FROM grams GROUP BY context ORDER BY sum(a + b) DESC, length(context), context LIMIT 4096
+), cells AS (
+  SELECT s.context, x.symbol, coalesce(a, 0) AS a, coalesce(b, 0) AS b,
+    sum(a) OVER (PARTITION BY s.context) AS na, sum(b) OVER (PARTITION BY s.context) AS nb
+  FROM states s, unnest(string_split('abcdefghijklmnopqrstuvwxyz0/.-_?=&#%:~+@*$', '')) AS x(symbol)
+  LEFT JOIN grams g ON g.context = s.context AND g.symbol = x.symbol
+), smoothed AS (
+  SELECT context, symbol, (a + 4 * (CAST(1 AS DOUBLE) / 42)) / (na + CAST(4 AS DOUBLE)) AS pa,
+    (b + 4 * (CAST(1 AS DOUBLE) / 42)) / (nb + CAST(4 AS DOUBLE)) AS pb FROM cells WHERE context = ''
+  UNION ALL
+  SELECT c.context, c.symbol, (c.a + 4 * p.pa) / (c.na + CAST(4 AS DOUBLE)), (c.b + 4 * p.pb) / (c.nb + CAST(4 AS DOUBLE))
+  FROM cells c JOIN smoothed p ON p.context = substr(c.context, 2) AND p.symbol = c.symbol WHERE c.context <> ''
+), steps AS (
+  SELECT symbols, i, max_by(context, length(context)) AS context
+  FROM (SELECT DISTINCT symbols FROM told), unnest(range(2, 2 + length(symbols))) AS r(i), unnest([0, 1, 2, 3, 4]) AS o(k)
+  JOIN states ON context = substr('^' || symbols, i - k, k) WHERE k < i GROUP BY ALL
+), scores AS (
+  SELECT symbols, sum(ln(pa) - ln(pb)) / any_value(length(symbols)) AS score
+  FROM steps JOIN smoothed p ON p.context = steps.context AND p.symbol = substr(symbols, i - 1, 1) GROUP BY symbols
+), kinds AS (
+  SELECT count(*) FILTER (ruled = 'allow') > 0 AND count(*) FILTER (ruled = 'block') > 0 AS ready FROM labelled WHERE NOT calibrates
+), judged AS (
+  SELECT told.*, CASE WHEN ready THEN coalesce(score, 0) ELSE 0 END AS score FROM told CROSS JOIN kinds LEFT JOIN scores USING (symbols)
+), bins AS (
+  SELECT greatest(-1000, least(1000, floor(score * 100))) AS step, count(*) FILTER (l.ruled = 'allow') AS a, count(*) FILTER (l.ruled = 'block') AS b
+  FROM labelled l JOIN (SELECT DISTINCT symbols, score FROM judged) USING (symbols) WHERE calibrates GROUP BY ALL
+), rates AS (
+  SELECT step, coalesce(lag(step) OVER (ORDER BY step) + 1, step) AS above, sum(a) OVER () AS na, sum(b) OVER () AS nb, coalesce(sum(a) OVER w, 0) AS lost, coalesce(sum(b) OVER w, 0) AS caught
+  FROM bins WINDOW w AS (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), best AS (
+  SELECT (above + step) / 200 AS least FROM rates WHERE na > 0 AND nb > 0 ORDER BY caught * na - lost * nb DESC, step LIMIT 1
+)
+SELECT page_id, host, path, rule,
+  coalesce(ruled, CASE WHEN score < coalesce((SELECT least FROM best), 0) THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged
+"""
+
 SQL = {
     "op1_chat_format": OP1, "op4_line_quality": OP4, "op8_exact_topk": OP8, "op11_prefix_trie": OP11, "op12_source_divergence": OP12,
+    "op13_url_filter": OP13,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sparkmart.llm import (
     chat, jaccard, langid, line_rules, neural_lm, packing, prefix_trie, pu_quality, secrets, sentencepiece_np, source_divergence, topk,
+    url_filter,
 )
 from sparkmart.llm.common import fold, table
 
@@ -16,6 +17,15 @@ from sparkmart.llm.common import fold, table
 FOLDS, HELD_OUT = 4, 2
 LM_FOLDS, LM_HELD_OUT = 10, 0
 
+#: The rules of query 13.
+URL_RULES = [
+    url_filter.Rule("allow", "com", "/"),
+    url_filter.Rule("block", "example.com", "/en/"),
+    url_filter.Rule("allow", "www.example.com", "/en/"),
+    url_filter.Rule("block", "net", "/es/"),
+    url_filter.Rule("block", "net", "/fr/"),
+]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -119,3 +129,9 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far the sources of each language are from each other, and the terms that they use most beyond it."""
     return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on every page's url, by rule or by the models of the urls that rules decide."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES).drop("score")

@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_all_are_registered():
     numbers = collections.Counter(re.match(r"op(\d+)_", n).group(1) for n in queries.QUERIES)
-    assert numbers == collections.Counter(str(n) for n in range(1, 11))
+    assert numbers == collections.Counter(str(n) for n in range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(contract.queries())
     assert set(oracle.SQL) <= set(contract.oracle_sql()) and "pipeline" not in contract.oracle_sql()
 
