@@ -10,16 +10,19 @@ occurs: most of a block is pairs of the same few small counts, or of empty subtr
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkmart.llm.common import hold, lower_ascii, written
+from sparkmart.operators.joins import bounded_broadcast
 
 #: Fixed values of the audit: what a term is, in how many documents it occurs, the smoothing and the unit.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
@@ -27,19 +30,22 @@ MIN_DOCUMENTS, SMOOTHING, UNIT, TOP = 30, 5, 1_000_000_000, 50
 
 #: Terms to a block, unless the language has more sources; then as many as it has sources, so that
 #: the pairs a block tells of are no more than the counts that it may hold.
-BLOCK = 256
+BLOCK = 512
 
 #: Sources of a language that meet in one task; more are compared part by part.
 PART = 64
 
 #: Counted (language, source, term) keys that a task holds before it hands them on.
-HELD_KEYS = 200_000
+HELD_KEYS = 400_000
 
 _terms = re.compile(TERM).findall
 
 #: Leaf of the places that only fill a tree up to a power of two; it costs nothing.
 _FILL = -1
 
+#: Languages up to which their figures are broadcast.
+MAX_LANGS = 10_000
+
 _PAIRS = "lang string, source string, other string, term string, value long"
 
 
@@ -49,34 +55,32 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     The empty term stands for the group itself.
     """
     hold()
-    counts: dict[tuple[str, str], dict[str, list[int]]] = defaultdict(dict)
+    # Both counters of a group get their keys in the same order
+    counts: dict[tuple[str, str], tuple[Counter, Counter]] = {}
     held = 0
 
     def told():
-        rows = [(lang, source, term, *n) for (lang, source), of in counts.items() for term, n in of.items()]
-        columns = [pa.array(c, t) for c, t in zip(zip(*rows), [pa.string()] * 3 + [pa.int64()] * 2)]
-        for batch in pa.table(columns, names=["lang", "source", "term", "n", "docs"]).to_batches(max_chunksize=20_000):
-            yield batch
+        for (lang, source), (n, docs) in counts.items():
+            columns = {"lang": pa.repeat(lang, len(n)), "source": pa.repeat(source, len(n)), "term": pa.array(list(n), pa.string())}
+            columns |= {"n": pa.array(list(n.values()), pa.int64()), "docs": pa.array(list(docs.values()), pa.int64())}
+            yield from pa.table(columns).to_batches(max_chunksize=20_000)
 
     for batch in batches:
         for text, lang, source in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "source"))):
-            of = counts[lang, source]
-            before = len(of)
-            of.setdefault("", [0, 0])
-            for term, n in Counter(_terms(lower_ascii(text))).items():
-                seen = of.get(term)
-                if seen is None:
-                    of[term] = [n, 1]
-                else:
-                    seen[0] += n
-                    seen[1] += 1
-            held += len(of) - before
+            if (lang, source) not in counts:
+                counts[lang, source] = Counter({"": 0}), Counter({"": 0})
+                held += 1
+            n, docs = counts[lang, source]
+            before = len(n)
+            terms = _terms(lower_ascii(text))
+            n.update(terms)
+            docs.update(dict.fromkeys(terms, 1))
+            held += len(n) - before
             if held > HELD_KEYS:
                 yield from told()
                 counts.clear()
                 held = 0
-    if held:
-        yield from told()
+    yield from told()
 
 
 def probabilities(counts: np.ndarray, total: int, terms: int) -> np.ndarray:
@@ -161,32 +165,29 @@ def _compare(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     Rows without a source tell the language's own count of each term of the block; rows without a term tell a source and its total.
     """
     lang, _, first, second = (k.as_py() for k in key)
-    rows = table.to_pylist()
     # The numbers follow how frequent terms are, so that empty places are neighbours
-    words = sorted((r for r in rows if r["source"] is None), key=lambda r: (-r["n"], r["term"]))
-    sources = sorted((r for r in rows if r["term"] is None), key=lambda r: (r["part"], r["source"]))
-    number = {r["term"]: i for i, r in enumerate(words)}
-    row = {r["source"]: i for i, r in enumerate(sources)}
-    counts = np.zeros((len(sources) + 1, len(words)), dtype=np.int64)
-    for r in rows:
-        if r["source"] is not None and r["term"] is not None:
-            counts[row[r["source"]], number[r["term"]]] = r["n"]
-    counts[-1] = [r["n"] for r in words]
+    words = table.filter(pc.field("source").is_null()).sort_by([("n", "descending"), ("term", "ascending")])
+    groups = table.filter(pc.field("source").is_valid() & pc.field("term").is_null())
+    cells = table.filter(pc.field("source").is_valid() & pc.field("term").is_valid())
+    terms, sources = words.column("term").to_pylist(), groups.column("source").to_pylist()
+    counts = np.zeros((len(sources) + 1, len(terms)), dtype=np.int64)
+    rows, numbers = (pc.index_in(cells.column(c), of.column(c)).to_numpy() for c, of in (("source", groups), ("term", words)))
+    counts[rows, numbers] = cells.column("n").to_numpy()
+    counts[-1] = words.column("n").to_numpy()
+    part, total = groups.column("part").to_pylist(), groups.column("total").to_pylist()
     out: list[tuple] = []
-    if words:
+    if terms and sources:
         forest = Forest(counts)
-        p = [probabilities(forest.leaves, r["total"], r["terms"]) for r in sources]
-        if first == second and sources:
-            q = probabilities(forest.leaves, sources[0]["lang_total"], sources[0]["terms"])
-            for i, r in enumerate(sources):
+        kept, lang_total = groups.column("terms")[0].as_py(), groups.column("lang_total")[0].as_py()
+        p = [probabilities(forest.leaves, n, kept) for n in total]
+        if first == second:
+            q = probabilities(forest.leaves, lang_total, kept)
+            for i, source in enumerate(sources):
                 best = forest.largest(i, len(sources), p[i], q, TOP)
-                out += [(lang, r["source"], None, words[term]["term"], value) for value, term in best]
-    for i, a in enumerate(sources):
-        for j in range(i + 1, len(sources)):
-            b = sources[j]
-            if (a["part"], b["part"]) == (first, second):
-                value = forest.distance(i, j, p[i], p[j]) if words else 0
-                out.append((lang, a["source"], b["source"], None, value))
+                out += [(lang, source, None, terms[t], value) for value, t in best]
+    for i, j in itertools.combinations(sorted(range(len(sources)), key=lambda i: (part[i], sources[i])), 2):
+        if (part[i], part[j]) == (first, second):
+            out.append((lang, sources[i], sources[j], None, forest.distance(i, j, p[i], p[j]) if terms else 0))
     names = [f.split()[0] for f in _PAIRS.split(", ")]
     kinds = [pa.string()] * 4 + [pa.int64()]
     return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 5, kinds)], names=names)
@@ -226,6 +227,7 @@ def audit(docs: DataFrame) -> DataFrame:
         .withColumn("blocks", F.expr("greatest(1, (terms + size - 1) div size)"))
         .withColumn("parts", F.expr(f"(sources + {PART - 1}) div {PART}"))
     )
+    langs, _ = bounded_broadcast(written(langs, "langs"), MAX_LANGS)
     totals = kept_counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     part = F.pmod(F.xxhash64("source"), "parts").alias("part")
     block = F.pmod(F.xxhash64("term"), "blocks").alias("block")
@@ -243,9 +245,10 @@ def audit(docs: DataFrame) -> DataFrame:
     firsts = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("first")
     seconds = F.explode(F.sequence(F.col("first"), F.col("parts") - 1)).alias("second")
     all_terms = of_terms.select("*", firsts).select("*", seconds).drop("parts")
-    found = written(
-        met.unionByName(all_terms, allowMissingColumns=True).groupBy("lang", "block", "first", "second").applyInArrow(_compare, _PAIRS), "divergence"
-    )
+    where = ("lang", "block", "first", "second")
+    # Dealt by the block too: the joins above may have left everything of a language in one place
+    dealt = met.unionByName(all_terms, allowMissingColumns=True).repartition(*where)
+    found = written(dealt.groupBy(*where).applyInArrow(_compare, _PAIRS), "divergence")
 
     once = found.where("term IS NULL").groupBy("lang", "source", "other").agg(F.sum("value").alias("value"))
     both = F.explode(F.array(F.struct("source", F.col("other").alias("item")), F.struct(F.col("other").alias("source"), F.col("source").alias("item"))))
