@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from sparkmart import schemas
 from sparkmart.functions.codes import GOOD_APPRAISAL
 from sparkmart.schemas import AMOUNT, LONG
+from sparkmart.sources import progress
 
 # What marks a product click and a product display.
 PRODUCT_PAGE = "good_detail"
@@ -186,4 +187,7 @@ def product_union(
 
 
 def _watermarked(df: DataFrame, time: str, watermark: str | None) -> DataFrame:
-    return df if watermark is None else df.withWatermark(time, watermark)
+    """With a watermark, which messages of progress move too; they end here."""
+    if watermark is not None:
+        df = df.withWatermark(time, watermark)
+    return df.where(progress.is_row(F.col(time))) if progress.MARK in df.columns else df

@@ -178,6 +178,7 @@ CTES = {
            UNION ALL SELECT epoch_ms(l_shipdate), l_shipdate, l_partkey, 0, 0, 0, 0, 0, 0, 0, 0, 1,
              CASE WHEN l_linestatus = 'F' THEN 1 ELSE 0 END, NULL, NULL, NULL FROM lineitem WHERE l_returnflag = 'A'""",
     ),
+    "idle_measures": (["measures"], "SELECT * FROM measures WHERE refund_order_id IS NULL AND comment_ct = 0"),
     "pstats": (
         ["measures"],
         f"""SELECT w, sku_id, {", ".join(f"CAST(sum({m}) AS BIGINT) AS {m}" for m in ("display_ct", "click_ct", "favor_ct", "cart_ct", "order_sku_num", "comment_ct", "good_comment_ct"))},
@@ -468,6 +469,10 @@ SELECTS = {
 }
 
 
+# No refunds and no comments come.
+CTES["idle_pstats"] = (["idle_measures"], CTES["pstats"][1].replace("FROM measures", "FROM idle_measures"))
+_needs, _select = SELECTS["product_stats_wide"]
+SELECTS["stream_product_stats_idle"] = (["idle_pstats", "full_skus"], _select.replace("FROM pstats", "FROM idle_pstats"))
 SELECTS["stream_log_split"] = (["messages"], "SELECT * EXCLUDE (event_id) FROM messages")
 # The streaming replays give what the batch queries give.
 for _name in ("unique_visitors", "user_bounce", "visitor_stats", "order_wide", "payment_wide", "product_stats_wide"):

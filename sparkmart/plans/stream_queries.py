@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sparkmart import schemas
 from sparkmart.functions import timeutil as tu
-from sparkmart.functions.jsonutil import to_json_rows
+from sparkmart.functions.jsonutil import to_json_rows, to_json_text
 from sparkmart.operators import logs, wide
 from sparkmart.plans.fixtures import AS_OF, Fixtures
 from sparkmart.plans.queries import (
@@ -183,3 +183,51 @@ def stream_product_stats_wide(fx: Fixtures) -> DataFrame:
     _run(jobs.product_stats(wh, ORDER_WINDOW))
     stats = fx.spark.read.parquet(f"{wh.root}/stats/product_stats")
     return stats.where(F.col("sku_id") >= 0).drop("ts", "batch")
+
+
+def _changes(table: str, rows: DataFrame) -> DataFrame:
+    """Change records about new rows of a table, as text."""
+    fields = [F.lit("shop").alias("database"), F.lit(table).alias("table"), F.lit("insert").alias("type")]
+    return rows.select(to_json_text(*fields, F.struct("*").alias("data"), F.lit(1).alias("ts")).alias("value"))
+
+
+def _all(frames: list[DataFrame]) -> DataFrame:
+    union = frames[0]
+    for frame in frames[1:]:
+        union = union.unionByName(frame)
+    return union
+
+
+def _rules(fx: Fixtures, rows: list[tuple]) -> DataFrame:
+    literals = [F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(schemas.RULE.names, r)]) for r in rows]
+    return fx.spark.range(1).select(F.inline(F.array(*literals)))
+
+
+@query
+def stream_product_stats_idle(fx: Fixtures) -> DataFrame:
+    """Raw logs and change records through all jobs to product statistics, without a refund or a comment.
+
+    Those topics have no row at all, and only favors have one after the data: what closes the last
+    windows everywhere else is the progress that the jobs publish.
+    """
+    wh = _warehouse(fx)
+    text = tu.timestamp_to_text("create_ts").alias("create_time")
+    last = fx.spark.range(1).select(F.lit(-1).cast("long").alias("sku_id"), F.lit("2100-01-01 00:00:00").alias("create_time"))
+    facts = {
+        "order_info": (jobs.ORDER_INFO, fx.orders().drop("create_ts")),
+        "order_detail": (jobs.ORDER_DETAIL, fx.details().drop("create_ts")),
+        "payment_info": (jobs.PAYMENT_INFO, fx.payments().drop("callback_ts")),
+        "favor_info": (jobs.FAVOR_INFO, fx.favors().select("sku_id", text).unionByName(last)),
+        "cart_info": (jobs.CART_INFO, fx.carts().select("sku_id", text)),
+    }
+    rules = _rules(fx, [(t, "insert", "kafka", topic, ",".join(df.columns), None, None) for t, (topic, df) in facts.items()])
+    _publish(wh, jobs.RAW_DB, **{jobs.RAW_DB: _all([_changes(t, df) for t, (_, df) in facts.items()])})
+    _publish(wh, jobs.RAW_LOG, **{jobs.RAW_LOG: logs.encode_logs(fx.logs()).unionByName(_closing_logs(wh))})
+    _store_dimensions(fx, wh)
+    _run(jobs.base_log(wh))
+    _run(jobs.base_db(wh, lambda: rules))
+    _run(jobs.order_wide(wh, -ORDER_DETAIL_SECONDS, ORDER_DETAIL_SECONDS, F.lit(AS_OF).cast("timestamp")))
+    _run(jobs.payment_wide(wh, order_upper_seconds=ORDER_DETAIL_SECONDS))
+    _run(jobs.product_stats(wh, ORDER_WINDOW))
+    stats = fx.spark.read.parquet(f"{wh.root}/stats/product_stats")
+    return stats.where(F.col("sku_id") >= 0).drop("ts", "batch")

@@ -1,7 +1,8 @@
 """Topics: Kafka where it is available, folders of files otherwise.
 
 Both have the same methods.  A topic carries text messages in a column
-``value``; rows to publish also say their ``topic``.
+``value``; rows to publish also say their ``topic``.  Messages of event-time progress
+are left out unless asked for with ``progress``.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sparkmart import schemas
 from sparkmart.sinks.batches import publish_batch
+from sparkmart.sources import progress as event_time
 from sparkmart.sources.files import make_dir
 
 VALUE = schemas.row(value=schemas.TEXT)
@@ -30,7 +32,7 @@ class KafkaTopics:
     servers: str
     options: Mapping[str, str] = field(default_factory=dict)
 
-    def read_stream(self, spark: SparkSession, topic: str, group: str | None = None) -> DataFrame:
+    def read_stream(self, spark: SparkSession, topic: str, group: str | None = None, progress: bool = False) -> DataFrame:
         reader = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", self.servers)
@@ -39,11 +41,13 @@ class KafkaTopics:
         )
         if group:
             reader = reader.option("groupIdPrefix", group)
-        return reader.load().select(F.col("value").cast("string").alias("value"))
+        rows = reader.load().select(F.col("value").cast("string").alias("value"))
+        return rows if progress else event_time.without(rows)
 
-    def read(self, spark: SparkSession, topic: str) -> DataFrame:
+    def read(self, spark: SparkSession, topic: str, progress: bool = False) -> DataFrame:
         reader = spark.read.format("kafka").option("kafka.bootstrap.servers", self.servers)
-        return reader.option("subscribe", topic).load().select(F.col("value").cast("string").alias("value"))
+        rows = reader.option("subscribe", topic).load().select(F.col("value").cast("string").alias("value"))
+        return rows if progress else event_time.without(rows)
 
     def publish(self, messages: DataFrame, producer: str, batch_id: int) -> None:
         writer = messages.select("topic", "value").write.format("kafka")
@@ -66,18 +70,19 @@ class FolderTopics:
     def folder(self, topic: str) -> str:
         return f"{self.root}/{self.producers.get(topic, topic)}"
 
-    def _messages(self, reader, topic: str) -> DataFrame:
+    def _messages(self, reader, topic: str, progress: bool = False) -> DataFrame:
         schema = schemas.row(value=schemas.TEXT, batch=schemas.LONG, topic=schemas.TEXT)
         rows = reader.schema(schema).parquet(self.folder(topic))
-        return rows.where(F.col("topic") == topic).select("value")
+        own = rows.where(F.col("topic") == topic).select("value")
+        return own if progress else event_time.without(own)
 
-    def read_stream(self, spark: SparkSession, topic: str, group: str | None = None) -> DataFrame:
+    def read_stream(self, spark: SparkSession, topic: str, group: str | None = None, progress: bool = False) -> DataFrame:
         make_dir(spark, self.folder(topic))
-        return self._messages(spark.readStream, topic)
+        return self._messages(spark.readStream, topic, progress)
 
-    def read(self, spark: SparkSession, topic: str) -> DataFrame:
+    def read(self, spark: SparkSession, topic: str, progress: bool = False) -> DataFrame:
         make_dir(spark, self.folder(topic))
-        return self._messages(spark.read, topic)
+        return self._messages(spark.read, topic, progress)
 
     def publish(self, messages: DataFrame, producer: str, batch_id: int) -> None:
         publish_batch(messages.select("topic", "value"), f"{self.root}/{producer}", batch_id, ["topic"])

@@ -4,6 +4,9 @@ Each function starts one query and returns it.  A job reads topics, applies the
 shared operators, and publishes per micro-batch; jobs only meet through topics
 and tables, so each declares its own watermark.  Every layer of the warehouse
 (raw, cleaned, wide, statistics) has its own topics and can be replayed alone.
+
+With every batch a job also publishes how far event time has come, to all of its topics
+(see ``sources/progress.py``), so that a topic without rows holds nobody up.
 """
 
 from __future__ import annotations
@@ -14,9 +17,11 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sparkmart import schemas
+from sparkmart.functions import timeutil as tu
 from sparkmart.functions.jsonutil import CORRUPT, split_corrupt, to_json_text
 from sparkmart.operators import logs, measures, routing, stats, visitors, wide
 from sparkmart.operators.joins import bounded_broadcast
@@ -24,7 +29,7 @@ from sparkmart.session import shared_dir
 from sparkmart.sinks.batches import AppendedTable, publish_batch
 from sparkmart.sinks.dims import MAX_BROADCAST_KEYS, DimTables
 from sparkmart.sinks.writers import FolderStats, StatsSink, landing_writer
-from sparkmart.sources import cdc
+from sparkmart.sources import cdc, progress
 from sparkmart.sources.files import list_names, make_dir
 from sparkmart.sources.topics import FolderTopics, Topics, read_text_lines
 
@@ -82,6 +87,10 @@ PRODUCERS = dict.fromkeys([logs.PAGE_TOPIC, logs.START_TOPIC, logs.DISPLAY_TOPIC
 )
 
 
+def topics_of(job: str) -> list[str]:
+    return [topic for topic, producer in PRODUCERS.items() if producer == job]
+
+
 # Ids of the batches of a checkpoint start at a multiple of this.
 BATCHES_PER_EPOCH = 2**32
 
@@ -120,14 +129,23 @@ class Warehouse:
     def checkpoint(self, job: str) -> str:
         return f"{self.root}/checkpoints/{job}"
 
-    def read(self, topic: str, job: str) -> DataFrame:
-        return self.topics.read_stream(self.spark, topic, group=job)
+    def read(self, topic: str, job: str, with_progress: bool = False) -> DataFrame:
+        return self.topics.read_stream(self.spark, topic, job, with_progress)
 
     def logs(self, topic: str, job: str) -> DataFrame:
-        return logs.decode_logs(self.read(topic, job)).where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        """Readable logs with their text, and messages of progress, which have a key in ``progress.MARK``."""
+        decoded = logs.decode_logs(self.read(topic, job, with_progress=True), keep_text=True)
+        readable = decoded.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+        return readable.withColumn(progress.MARK, progress.key_of_mid(F.col("common.mid")))
 
     def facts(self, topic: str, job: str, schema, time: str = "create_time") -> DataFrame:
-        return split_corrupt(wide.parse_facts(self.read(topic, job), schema, time))[0]
+        """Readable facts, and messages of progress, which have a key in ``progress.MARK``."""
+        marked = T.StructType(schema.fields + [T.StructField(progress.MARK, T.LongType())])
+        return split_corrupt(wide.parse_facts(self.read(topic, job, with_progress=True), marked, time))[0]
+
+    def trailing(self, at: Column, seconds: int = 0) -> Column:
+        """The time that rows may still come from, after all that was published at time ``at``."""
+        return at - F.expr(f"INTERVAL {self.watermark}") - F.expr(f"INTERVAL {int(seconds)} SECONDS")
 
     def keep_corrupt(self, rows: DataFrame, job: str, batch_id: int) -> None:
         """Text that a job could not read, as a table of its own."""
@@ -260,7 +278,9 @@ def base_log(wh: Warehouse) -> StreamingQuery:
         with persisted(batch):
             good, bad = split_corrupt(batch)
             wh.keep_corrupt(bad, LOG_JOB, batch_id)
-            wh.topics.publish(logs.log_outputs(repair_batch(wh, good, batch_id)), LOG_JOB, batch_id)
+            split = logs.log_outputs(repair_batch(wh, good, batch_id))
+            come = progress.messages(good, F.col("event_time"), topics_of(LOG_JOB))
+            wh.topics.publish(split.unionByName(come), LOG_JOB, batch_id)
 
     return wh.start(LOG_JOB, decoded, write)
 
@@ -282,7 +302,9 @@ def base_db(wh: Warehouse, rules: Callable[[], DataFrame]) -> StreamingQuery:
             create_dim_tables(wh, current)
             seq = F.coalesce("ts", F.lit(0)).alias("seq")
             wh.dims.upsert(routing.dim_rows(routed.withColumn("seq", seq), "seq"), batch_id)
-            wh.topics.publish(routing.fact_payloads(routed), DB_JOB, batch_id)
+            times = (tu.text_to_timestamp(F.col("data")[c]) for c in ("create_time", "callback_time"))
+            come = progress.messages(routed.where(F.col("route") == "fact"), F.greatest(*times), topics_of(DB_JOB))
+            wh.topics.publish(routing.fact_payloads(routed).unionByName(come), DB_JOB, batch_id)
             rejected = routed.where(F.col("route") == "rejected")
             rejected = rejected.select("database", "table", "type", F.to_json("data").alias("data"), "reason")
             publish_batch(rejected, f"{wh.root}/rejected/{DB_JOB}", batch_id)
@@ -315,45 +337,73 @@ def rules_from_topic(wh: Warehouse, topic: str) -> Callable[[], DataFrame]:
 
 
 def unique_visitor(wh: Warehouse, delay: str = "2 days") -> StreamingQuery:
-    """Page logs to the first entry page per visitor and day."""
+    """Page logs to the first entry page per visitor and day, as whole messages."""
     job = "unique_visitor"
     first = visitors.unique_visitors_stream(wh.logs(logs.PAGE_TOPIC, job), delay)
-    return wh.start_topic(job, UNIQUE_VISIT, logs.encode_logs(first), "update")
+    return wh.start_topic(job, UNIQUE_VISIT, first.select(F.col(logs.RAW).alias("value")), "update")
 
 
 def user_jump(wh: Warehouse, within_seconds: int = 10) -> StreamingQuery:
-    """Page logs to bounces."""
+    """Page logs to bounces, as whole messages.
+
+    A message of progress times out like a bounce.  Later bounces are of windows of two limits
+    that end after its own, so it trails by as much.
+    """
     job = "user_jump"
     pages = wh.logs(logs.PAGE_TOPIC, job).withWatermark("event_time", wh.watermark)
-    return wh.start_topic(job, USER_JUMP, logs.encode_logs(visitors.bounces(pages, within_seconds)))
+    found = visitors.bounces(pages, within_seconds)
+    at = F.col("event_time") - F.expr(f"INTERVAL {2 * int(within_seconds)} SECONDS")
+    come = F.when(F.col(progress.MARK).isNotNull(), progress.message(at, F.col(progress.MARK)))
+    return wh.start_topic(job, USER_JUMP, found.select(F.coalesce(come, logs.RAW).alias("value")))
 
 
 def order_wide(
     wh: Warehouse, lower_seconds: int = -5, upper_seconds: int = 5, as_of: Column | None = None
 ) -> StreamingQuery:
-    """Orders and details to wide orders, with the dimensions as of each batch."""
+    """Orders and details to wide orders, with the dimensions as of each batch.
+
+    Messages of progress of both topics meet in the join.  Orders that wait for details are
+    older than that by the interval and the watermark at most.
+    """
     job = "order_wide"
     orders = wh.facts(ORDER_INFO, job, schemas.ORDER_INFO).withWatermark("create_ts", wh.watermark)
     details = wh.facts(ORDER_DETAIL, job, schemas.ORDER_DETAIL).withWatermark("create_ts", wh.watermark)
     joined = wide.order_detail_join(orders, details, lower_seconds, upper_seconds, wh.salts)
+    key = progress.key_of_id(F.col("order_id"))
+    come = progress.message(wh.trailing(F.col("create_ts"), max(upper_seconds, 0)), key)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with persisted(batch):
-            rows = wide.order_wide(batch, wh.dimensions(batch), as_of)
-            value = to_json_text(*schemas.ORDER_WIDE.names).alias("value")
-            wh.topics.publish(rows.select(F.lit(ORDER_WIDE).alias("topic"), value), ORDER_WIDE, batch_id)
+            found = batch.where(key.isNull())
+            rows = wide.order_wide(found, wh.dimensions(found), as_of)
+            values = rows.select(to_json_text(*schemas.ORDER_WIDE.names).alias("value"))
+            values = values.unionByName(batch.where(key.isNotNull()).select(come.alias("value")))
+            wh.topics.publish(values.select(F.lit(ORDER_WIDE).alias("topic"), "value"), ORDER_WIDE, batch_id)
 
     return wh.start(job, joined, write)
 
 
-def payment_wide(wh: Warehouse, lower_seconds: int = -1800, upper_seconds: int = 0) -> StreamingQuery:
-    """Payments and wide orders to wide payments."""
+def payment_wide(
+    wh: Warehouse, lower_seconds: int = -1800, upper_seconds: int = 0, order_upper_seconds: int = 5
+) -> StreamingQuery:
+    """Payments and wide orders to wide payments.
+
+    Progress of wide orders trails that of payments by ``order_upper_seconds``, the upper end of
+    the interval in ``order_wide``, and the watermark.  So that both meet, that of payments is set
+    back by as much; nothing is lost, as the join waits for the wide orders anyway.
+    """
     job = "payment_wide"
     payments = wh.facts(PAYMENT_INFO, job, schemas.PAYMENT_INFO, "callback_time")
-    payments = payments.withWatermark("callback_ts", wh.watermark)
+    set_back = wh.trailing(F.col("callback_ts"), max(order_upper_seconds, 0))
+    called = F.when(F.col(progress.MARK).isNotNull(), set_back).otherwise(F.col("callback_ts"))
+    payments = payments.withColumn("callback_ts", called).withWatermark("callback_ts", wh.watermark)
     orders = wh.facts(ORDER_WIDE, job, schemas.ORDER_WIDE).withWatermark("create_ts", wh.watermark)
     rows = wide.payment_wide(payments, orders, lower_seconds, upper_seconds, wh.salts)
-    return wh.start_topic(job, PAYMENT_WIDE, rows.select(to_json_text(*schemas.PAYMENT_WIDE.names).alias("value")))
+    key = progress.key_of_id(F.col("order_id"))
+    both = F.least("callback_ts", tu.text_to_timestamp("order_create_time"))
+    come = F.when(key.isNotNull(), progress.message(wh.trailing(both, max(upper_seconds, 0)), key))
+    value = F.coalesce(come, to_json_text(*schemas.PAYMENT_WIDE.names)).alias("value")
+    return wh.start_topic(job, PAYMENT_WIDE, rows.select(value))
 
 
 # Statistics layer -----------------------------------------------------------
