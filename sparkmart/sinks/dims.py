@@ -2,14 +2,18 @@
 
 Layout under one root::
 
-    changes/batch=<id>/sink_table=<table>/    upserts: seq, pk, type, data
-    snapshots/<table>/batch=<id>/             the table as of that batch: pk, data, deleted
-    columns/<table>/batch=<n>/                names of the columns, as rules give them
-
-An upsert appends its batch only; a reader takes the newest snapshot plus the
-batches after it.  No table is rewritten per batch.  A change sets the columns it
-carries and leaves the others, as an upsert by column does; a snapshot keeps every
-column and the mark of a deleted row, so a reader finds the same before and after.
+    changes/batch=<id>/sink_table=<table>/bucket=<b>/   upserts: seq, position, pk, type, data
+    snapshots/<table>/batch=<id>/bucket=<b>/            a bucket as of that batch: pk, data, deleted
+    columns/<table>/batch=<n>/                          names of the columns, as rules give them
+
+An upsert appends its batch only; a reader takes the newest snapshots plus the
+batches after them, and with keys it opens the buckets of these keys only.  No table
+is rewritten per batch, and compaction rewrites the buckets that changed.  A change sets
+the columns it carries and leaves the others, as an upsert by column does; a snapshot keeps
+every column and the mark of a deleted row, so a reader finds the same before and after.
+
+Changes are in total order: by batch, by ``seq``, then by their position in the source.  So
+of two changes with equal ``seq`` the later one sets all of its columns.
 """
 
 from __future__ import annotations
@@ -22,12 +26,14 @@ from pyspark.sql import functions as F
 from sparkmart import schemas
 from sparkmart.operators.joins import bounded_broadcast
 from sparkmart.operators.routing import dim_schema
-from sparkmart.sinks.batches import BATCH, last_batch, publish_batch, read_batches
+from sparkmart.sinks.batches import BATCH, BUCKET, Buckets, Snapshots, in_buckets, last_batch, publish_batch, read_batches
 from sparkmart.sources.files import list_names, make_dir
+from sparkmart.sources.topics import POSITION, POSITION_TYPE
 
 CHANGES = schemas.row(
-    seq=schemas.LONG, pk=schemas.TEXT, type=schemas.TEXT, data=schemas.TEXT_MAP, sink_table=schemas.TEXT
-)
+    seq=schemas.LONG, position=POSITION_TYPE, pk=schemas.TEXT, type=schemas.TEXT, data=schemas.TEXT_MAP,
+    sink_table=schemas.TEXT, bucket=schemas.INT,
+)
 SNAPSHOT = schemas.row(pk=schemas.TEXT, data=schemas.TEXT_MAP, deleted=schemas.LONG)
 COLUMNS = schemas.row(name=schemas.TEXT, place=schemas.LONG)
 DELETE = "delete"
@@ -37,12 +43,13 @@ MAX_BROADCAST_KEYS = 1_000_000
 
 
 class DimTables:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int = 16):
         self.spark = spark
         self.root = root
+        self.buckets = Buckets(spark, root, buckets)
 
-    def _snapshots(self, table: str) -> str:
-        return f"{self.root}/snapshots/{table}"
+    def _snapshots(self, table: str) -> Snapshots:
+        return Snapshots(self.spark, f"{self.root}/snapshots/{table}", SNAPSHOT)
 
     def _columns(self, table: str) -> str:
         return f"{self.root}/columns/{table}"
@@ -67,31 +74,35 @@ class DimTables:
         return sorted(n for n in list_names(self.spark, f"{self.root}/columns") if not n.startswith("_"))
 
     def upsert(self, rows: DataFrame, batch_id: int) -> bool:
-        """Append a batch of changes: ``seq``, ``sink_table``, ``pk``, ``type``, ``data``.
+        """Append a batch of changes: ``seq``, ``sink_table``, ``pk``, ``type``, ``data``, and ``position`` if known.
 
-        A change without a key belongs to no row; it is kept for `rejected`.
+        Without positions the order of the rows counts.  A change without a key belongs to no row;
+        it is kept for `rejected`.
         """
-        return publish_batch(rows.select(*CHANGES.names), f"{self.root}/changes", batch_id, ["sink_table"])
+        if POSITION not in rows.columns:
+            place = F.struct(F.lit(0).cast("long").alias("part"), F.monotonically_increasing_id().alias("offset"))
+            rows = rows.withColumn(POSITION, place)
+        dealt = self.buckets.dealt(rows, "pk").select(*CHANGES.names)
+        return publish_batch(dealt, f"{self.root}/changes", batch_id, ["sink_table", BUCKET])
 
     def rejected(self, table: str) -> DataFrame:
         """Changes that have no key."""
         rows = read_batches(self.spark, f"{self.root}/changes", CHANGES)
         return rows.where((F.col("sink_table") == table) & F.col("pk").isNull())
 
-    def _versions(self, table: str) -> tuple[DataFrame, int | None]:
-        """Snapshot rows and later changes as (pk, at, type, data); ``at`` orders them."""
-        upto = last_batch(self.spark, self._snapshots(table))
-        changes = read_batches(self.spark, f"{self.root}/changes", CHANGES, after=upto)
-        at = F.struct(F.col(BATCH).alias("batch"), "seq")
-        rows = changes.where((F.col("sink_table") == table) & F.col("pk").isNotNull()).select(
-            "pk", at.alias("at"), "type", "data"
+    def _versions(self, table: str, buckets: Sequence[int] | None = None, after: int | None = None) -> DataFrame:
+        """Snapshot rows and later changes as (bucket, pk, at, type, data); ``at`` orders them."""
+        changes = read_batches(self.spark, f"{self.root}/changes", CHANGES, after=after)
+        own = (F.col("sink_table") == table) & F.col("pk").isNotNull() & in_buckets(buckets)
+        rows = changes.where(own).select(
+            F.coalesce(BUCKET, self.buckets.of("pk")).alias(BUCKET), "pk", F.struct(BATCH, "seq", POSITION).alias("at"), "type", "data"
         )
-        if upto is not None:
-            stored = self.spark.read.schema(SNAPSHOT).parquet(f"{self._snapshots(table)}/{BATCH}={upto}")
-            first = F.struct(F.lit(upto).cast("long").alias("batch"), F.lit(-1).cast("long").alias("seq"))
-            kind = F.when(F.col("deleted") == 1, DELETE).otherwise("snapshot")
-            rows = stored.select("pk", first.alias("at"), kind.alias("type"), "data").unionByName(rows)
-        return rows, upto
+        first = F.struct(
+            F.lit(-1 if after is None else after).cast("long").alias(BATCH), F.lit(None).cast("long").alias("seq"),
+            F.lit(None).cast(POSITION_TYPE).alias(POSITION),
+        )
+        kind = F.when(F.col("deleted") == 1, DELETE).otherwise("snapshot").alias("type")
+        return self._snapshots(table).read(buckets).select(BUCKET, "pk", first.alias("at"), kind, "data").unionByName(rows)
 
     def read(
         self,
@@ -103,15 +114,14 @@ class DimTables:
     ) -> DataFrame:
         """The table's current rows as text columns.
 
-        Each column has the value of the last change that carries it; of changes that
-        are equal in batch and ``seq``, the greatest value.  A deleted row stays, with its
+        Each column has the value of the last change that carries it.  A deleted row stays, with its
         last image, unless ``apply_deletes``, which also forgets what was set before the
         deletion.  ``columns`` is needed only for a table that was never created.  ``keys``
-        is one column of key values: only their rows are read, so that a small batch
-        does not sort a large table.
+        is one column of key values: only their buckets are opened, and of these their rows are
+        taken, so that the cost of a small batch follows the batch and not the table.
         """
         columns = list(dict.fromkeys([*self.columns(table), *columns]))
-        rows, _ = self._versions(table)
+        rows = self._versions(table, None if keys is None else self.buckets.holding(keys), self._snapshots(table).upto())
         if keys is not None:
             wanted = bounded_broadcast(keys.toDF("_wanted").distinct(), MAX_BROADCAST_KEYS)[0]
             rows = rows.join(wanted, F.col("pk") == F.col("_wanted"), "left_semi")
@@ -137,22 +147,25 @@ class DimTables:
         return current.select(*[value(c) for c in columns])
 
     def compact(self, table: str) -> bool:
-        """Write a new snapshot that covers all batches so far; False if there is nothing new.
+        """Write the buckets anew that changed since the last snapshot; False if no batch came.
 
         Every column is kept, whether a rule names it or not, and deleted rows keep their mark.
         """
-        upto = last_batch(self.spark, f"{self.root}/changes")
-        rows, done = self._versions(table)
+        upto, done = last_batch(self.spark, f"{self.root}/changes"), self._snapshots(table).upto()
         if upto is None or (done is not None and upto <= done):
             return False
-        newest = rows.groupBy("pk").agg(F.max(F.struct("at", "type")).alias("newest"))
-        values = rows.select("pk", "at", F.explode("data").alias("name", "value"))
-        last = values.groupBy("pk", "name").agg(F.max(F.struct("at", "value")).alias("last"))
+        new = read_batches(self.spark, f"{self.root}/changes", CHANGES, after=done)
+        own = new.where((F.col("sink_table") == table) & F.col("pk").isNotNull())
+        changed = sorted(r[0] for r in own.select(F.coalesce(BUCKET, self.buckets.of("pk"))).distinct().collect())
+        rows = self._versions(table, changed, done)
+        newest = rows.groupBy(BUCKET, "pk").agg(F.max(F.struct("at", "type")).alias("newest"))
+        values = rows.select(BUCKET, "pk", "at", F.explode("data").alias("name", "value"))
+        last = values.groupBy(BUCKET, "pk", "name").agg(F.max(F.struct("at", "value")).alias("last"))
         # One entry for each column of a row.
-        data = last.groupBy("pk").agg(
+        data = last.groupBy(BUCKET, "pk").agg(
             F.map_from_entries(F.collect_list(F.struct("name", F.col("last.value").alias("value")))).alias("data")
         )
-        marked = newest.select("pk", (F.col("newest.type") == DELETE).cast("long").alias("deleted"))
+        marked = newest.select(BUCKET, "pk", (F.col("newest.type") == DELETE).cast("long").alias("deleted"))
         none = F.create_map().cast("map<string,string>")
-        snapshot = marked.join(data, "pk", "left").select("pk", F.coalesce("data", none).alias("data"), "deleted")
-        return publish_batch(snapshot, self._snapshots(table), upto)
+        snapshot = marked.join(data, [BUCKET, "pk"], "left").select("pk", F.coalesce("data", none).alias("data"), "deleted", BUCKET)
+        return self._snapshots(table).publish(snapshot.repartition(BUCKET), upto)

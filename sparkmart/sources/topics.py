@@ -2,7 +2,8 @@
 
 Both have the same methods.  A topic carries text messages in a column
 ``value``; rows to publish also say their ``topic``.  Messages of event-time progress
-are left out unless asked for with ``progress``.
+are left out unless asked for with ``progress``.  With ``position`` a message says where it
+is in its topic; of messages about one key, the later one has the greater position.
 """
 
 from __future__ import annotations
@@ -10,16 +11,24 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkmart import schemas
-from sparkmart.sinks.batches import publish_batch
+from sparkmart.sinks.batches import last_batch, publish_batch, read_batches
 from sparkmart.sources import progress as event_time
 from sparkmart.sources.files import make_dir
 
 VALUE = schemas.row(value=schemas.TEXT)
 
+#: Where a message is in its source: a Kafka partition and offset, or a producer's batch and the row in it.
+POSITION = "position"
+POSITION_TYPE = schemas.row(part=schemas.LONG, offset=schemas.LONG)
+
+
+def _position(part: str, offset: str) -> Column:
+    return F.struct(F.col(part).cast("long").alias("part"), F.col(offset).cast("long").alias("offset")).alias(POSITION)
+
 
 @dataclass(frozen=True)
 class KafkaTopics:
@@ -32,7 +41,15 @@ class KafkaTopics:
     servers: str
     options: Mapping[str, str] = field(default_factory=dict)
 
-    def read_stream(self, spark: SparkSession, topic: str, group: str | None = None, progress: bool = False) -> DataFrame:
+    @staticmethod
+    def _messages(rows: DataFrame, progress: bool, position: bool) -> DataFrame:
+        places = [_position("partition", "offset")] if position else []
+        values = rows.select(F.col("value").cast("string").alias("value"), *places)
+        return values if progress else event_time.without(values)
+
+    def read_stream(
+        self, spark: SparkSession, topic: str, group: str | None = None, progress: bool = False, position: bool = False
+    ) -> DataFrame:
         reader = (
             spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", self.servers)
@@ -41,13 +58,11 @@ class KafkaTopics:
         )
         if group:
             reader = reader.option("groupIdPrefix", group)
-        rows = reader.load().select(F.col("value").cast("string").alias("value"))
-        return rows if progress else event_time.without(rows)
+        return self._messages(reader.load(), progress, position)
 
-    def read(self, spark: SparkSession, topic: str, progress: bool = False) -> DataFrame:
+    def read(self, spark: SparkSession, topic: str, progress: bool = False, position: bool = False) -> DataFrame:
         reader = spark.read.format("kafka").option("kafka.bootstrap.servers", self.servers)
-        rows = reader.option("subscribe", topic).load().select(F.col("value").cast("string").alias("value"))
-        return rows if progress else event_time.without(rows)
+        return self._messages(reader.option("subscribe", topic).load(), progress, position)
 
     def publish(self, messages: DataFrame, producer: str, batch_id: int) -> None:
         writer = messages.select("topic", "value").write.format("kafka")
@@ -70,22 +85,33 @@ class FolderTopics:
     def folder(self, topic: str) -> str:
         return f"{self.root}/{self.producers.get(topic, topic)}"
 
-    def _messages(self, reader, topic: str, progress: bool = False) -> DataFrame:
-        schema = schemas.row(value=schemas.TEXT, batch=schemas.LONG, topic=schemas.TEXT)
-        rows = reader.schema(schema).parquet(self.folder(topic))
-        own = rows.where(F.col("topic") == topic).select("value")
+    def _messages(self, rows: DataFrame, topic: str, progress: bool, position: bool) -> DataFrame:
+        places = [_position("batch", "row")] if position else []
+        own = rows.where(F.col("topic") == topic).select("value", *places)
         return own if progress else event_time.without(own)
 
-    def read_stream(self, spark: SparkSession, topic: str, group: str | None = None, progress: bool = False) -> DataFrame:
+    def read_stream(
+        self, spark: SparkSession, topic: str, group: str | None = None, progress: bool = False, position: bool = False
+    ) -> DataFrame:
         make_dir(spark, self.folder(topic))
-        return self._messages(spark.readStream, topic, progress)
+        stored = schemas.row(value=schemas.TEXT, row=schemas.LONG, batch=schemas.LONG, topic=schemas.TEXT)
+        return self._messages(spark.readStream.schema(stored).parquet(self.folder(topic)), topic, progress, position)
 
-    def read(self, spark: SparkSession, topic: str, progress: bool = False) -> DataFrame:
-        make_dir(spark, self.folder(topic))
-        return self._messages(spark.read, topic, progress)
+    def read(
+        self, spark: SparkSession, topic: str, progress: bool = False, position: bool = False, after: int | None = None
+    ) -> DataFrame:
+        """All messages, or those of the producer's batches after ``after``."""
+        stored = schemas.row(value=schemas.TEXT, row=schemas.LONG, topic=schemas.TEXT)
+        return self._messages(read_batches(spark, self.folder(topic), stored, after=after), topic, progress, position)
+
+    def last(self, spark: SparkSession, topic: str) -> int | None:
+        """The last batch of the topic's producer."""
+        return last_batch(spark, self.folder(topic))
 
     def publish(self, messages: DataFrame, producer: str, batch_id: int) -> None:
-        publish_batch(messages.select("topic", "value"), f"{self.root}/{producer}", batch_id, ["topic"])
+        """Publish a batch; its rows keep the order that they have."""
+        rows = messages.select("topic", "value", F.monotonically_increasing_id().alias("row"))
+        publish_batch(rows, f"{self.root}/{producer}", batch_id, ["topic"])
 
 
 Topics = KafkaTopics | FolderTopics

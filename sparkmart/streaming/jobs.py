@@ -31,7 +31,8 @@ from sparkmart.sinks.dims import MAX_BROADCAST_KEYS, DimTables
 from sparkmart.sinks.writers import FolderStats, StatsSink, landing_writer
 from sparkmart.sources import cdc, progress
 from sparkmart.sources.files import list_names, make_dir
-from sparkmart.sources.topics import FolderTopics, Topics, read_text_lines
+from sparkmart.sources.topics import POSITION, FolderTopics, Topics, read_text_lines
+from sparkmart.streaming.rules import RuleTable
 
 # Topics between the jobs.
 RAW_LOG = "ods_base_log"
@@ -113,6 +114,8 @@ class Warehouse:
     salts: int = 4
     # Batches after which a job folds the changes of its tables into a snapshot.
     compact_every: int = 500
+    # Buckets of a keyed table; a task compacts one, so it should fit.
+    buckets: int = 16
 
     def __post_init__(self):
         if self.root is None:
@@ -124,13 +127,13 @@ class Warehouse:
 
     @property
     def dims(self) -> DimTables:
-        return DimTables(self.spark, f"{self.root}/dims")
+        return DimTables(self.spark, f"{self.root}/dims", self.buckets)
 
     def checkpoint(self, job: str) -> str:
         return f"{self.root}/checkpoints/{job}"
 
-    def read(self, topic: str, job: str, with_progress: bool = False) -> DataFrame:
-        return self.topics.read_stream(self.spark, topic, job, with_progress)
+    def read(self, topic: str, job: str, with_progress: bool = False, position: bool = False) -> DataFrame:
+        return self.topics.read_stream(self.spark, topic, job, with_progress, position)
 
     def logs(self, topic: str, job: str) -> DataFrame:
         """Readable logs with their text, and messages of progress, which have a key in ``progress.MARK``."""
@@ -247,7 +250,7 @@ FIRST_VISITS = schemas.row(mid=schemas.TEXT, first_ts=schemas.LONG)
 
 
 def first_visits_table(wh: Warehouse) -> AppendedTable:
-    return AppendedTable(wh.spark, f"{wh.root}/first_visits", FIRST_VISITS)
+    return AppendedTable(wh.spark, f"{wh.root}/first_visits", FIRST_VISITS, wh.buckets)
 
 
 def repair_batch(wh: Warehouse, batch: DataFrame, batch_id: int) -> DataFrame:
@@ -262,11 +265,11 @@ def repair_batch(wh: Warehouse, batch: DataFrame, batch_id: int) -> DataFrame:
     found = logs.first_visits(batch)
     wanted, _ = bounded_broadcast(found.select("mid"), MAX_BROADCAST_KEYS)
     # Only the batch's visitors are looked at, also on the side that is read in full.
-    known = table.read(before=batch_id).join(wanted, "mid", "left_semi")
+    known = table.read(before=batch_id, keys=wanted).join(wanted, "mid", "left_semi")
     table.append(found.join(known, "mid", "left_anti"), batch_id)
     if (batch_id + 1) % wh.compact_every == 0:
         table.compact()
-    firsts = table.read(before=batch_id + 1).join(wanted, "mid", "left_semi")
+    firsts = table.read(before=batch_id + 1, keys=wanted).join(wanted, "mid", "left_semi")
     return logs.repair_new_visitors(batch, firsts)
 
 
@@ -291,7 +294,8 @@ def base_db(wh: Warehouse, rules: Callable[[], DataFrame]) -> StreamingQuery:
     ``rules`` is called for every batch, so that rule changes take effect before the
     records after them, and dimensions are written before facts.
     """
-    records = cdc.decode_records(wh.read(RAW_DB, DB_JOB))
+    records = cdc.decode_records(wh.read(RAW_DB, DB_JOB, position=True), keep=(POSITION,))
+    tables = DimCreator(wh.dims)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         current = rules()
@@ -299,9 +303,9 @@ def base_db(wh: Warehouse, rules: Callable[[], DataFrame]) -> StreamingQuery:
         routed = routing.route(routing.clean(good), current)
         with persisted(batch), persisted(routed):
             wh.keep_corrupt(bad, DB_JOB, batch_id)
-            create_dim_tables(wh, current)
+            tables.create(current)
             seq = F.coalesce("ts", F.lit(0)).alias("seq")
-            wh.dims.upsert(routing.dim_rows(routed.withColumn("seq", seq), "seq"), batch_id)
+            wh.dims.upsert(routing.dim_rows(routed.withColumn("seq", seq), "seq", POSITION), batch_id)
             times = (tu.text_to_timestamp(F.col("data")[c]) for c in ("create_time", "callback_time"))
             come = progress.messages(routed.where(F.col("route") == "fact"), F.greatest(*times), topics_of(DB_JOB))
             wh.topics.publish(routing.fact_payloads(routed).unionByName(come), DB_JOB, batch_id)
@@ -312,23 +316,54 @@ def base_db(wh: Warehouse, rules: Callable[[], DataFrame]) -> StreamingQuery:
     return wh.start(DB_JOB, records, write)
 
 
-def create_dim_tables(wh: Warehouse, rules: DataFrame) -> None:
-    """Create the dimension tables the rules name and that are not there yet.
+class DimCreator:
+    """Creates the dimension tables that rules name, and columns that they lack.
 
-    Reads the rule table's dimension rules to the driver: a table has one row per
-    routed (table, operation), written by hand.
+    Reads the dimension rules to the driver where they are not those of the batch before, and only
+    looks at the store for a list of columns that it has not seen: a table has one rule per routed
+    (table, operation), written by hand.
     """
-    wanted = rules.where(F.col("sink_type") == routing.DIM_SINK).select("sink_table", "sink_columns", "sink_pk")
-    for rule in wanted.distinct().toLocalIterator():
-        wh.dims.create(rule["sink_table"], rule["sink_columns"], rule["sink_pk"])
+
+    def __init__(self, dims: DimTables):
+        self.dims = dims
+        self._rules: DataFrame | None = None
+        self._seen: set[tuple] = set()
+
+    def create(self, rules: DataFrame) -> None:
+        if rules is self._rules:
+            return
+        wanted = rules.where(F.col("sink_type") == routing.DIM_SINK).select("sink_table", "sink_columns", "sink_pk")
+        for rule in wanted.distinct().collect():
+            if tuple(rule) not in self._seen:
+                self.dims.create(*rule)
+                self._seen.add(tuple(rule))
+        self._rules = rules
+
+
+def rule_table(wh: Warehouse, topic: str) -> RuleTable:
+    return RuleTable(wh.spark, f"{wh.root}/rules/{topic}")
+
+
+def maintain_rules(wh: Warehouse, topic: str) -> StreamingQuery:
+    """A topic of connector envelopes about the rule table, folded into the rules in force."""
+    table = rule_table(wh, topic)
+    return wh.start(f"rules_{topic}", wh.read(topic, f"rules_{topic}", position=True), table.fold)
 
 
 def rules_from_topic(wh: Warehouse, topic: str) -> Callable[[], DataFrame]:
-    """Rules in force according to a topic of connector envelopes about the rule table."""
+    """Rules in force according to a topic of connector envelopes about the rule table.
+
+    Each call takes in what has come to a topic of folders since the last one.  Of a Kafka topic it
+    gives what :func:`maintain_rules`, which then has to run as well, has folded so far.
+    """
+    table = rule_table(wh, topic)
 
     def rules() -> DataFrame:
-        changes = cdc.decode_envelope(wh.topics.read(wh.spark, topic))
-        return cdc.current_rules(changes.where(F.col(CORRUPT).isNull()), ["ts"])
+        if isinstance(wh.topics, FolderTopics):
+            upto, done = wh.topics.last(wh.spark, topic), table.version()
+            if upto is not None and (done is None or upto > done):
+                table.fold(wh.topics.read(wh.spark, topic, position=True, after=done), upto)
+        return table.current()
 
     return rules
 
@@ -450,16 +485,17 @@ def product_stats(wh: Warehouse, window: str = stats.WINDOW) -> StreamingQuery:
 def capture_table(wh: Warehouse, topic: str, table: str, pk: str = "id") -> StreamingQuery:
     """Connector envelopes of one table, snapshot first and then changes, into a stored table."""
     job = f"capture_{table}"
-    changes = cdc.decode_envelope(wh.read(topic, job))
+    changes = cdc.decode_envelope(wh.read(topic, job, position=True), keep=(POSITION,))
     rows = changes.where(F.col(CORRUPT).isNotNull() | (F.col("table") == table)).select(
         F.coalesce("ts", F.lit(0)).alias("seq"),
+        POSITION,
         F.lit(table).alias("sink_table"),
         cdc.row_image()[pk].alias("pk"),
         "type",
         cdc.row_image().alias("data"),
         CORRUPT,
     )
-    store = DimTables(wh.spark, f"{wh.root}/captured/{table}")
+    store = DimTables(wh.spark, f"{wh.root}/captured/{table}", wh.buckets)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with persisted(batch):
