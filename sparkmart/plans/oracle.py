@@ -469,6 +469,24 @@ SELECTS = {
 }
 
 
+SELECTS["cdc_rules_tied"] = SELECTS["cdc_rules_current"]
+SELECTS["dim_upsert_tied"] = (
+    [],
+    """SELECT CAST(o_custkey AS VARCHAR) AS id, 'name ' || max(o_orderkey) AS name,
+       'by ' || max(o_orderkey) FILTER (o_orderkey % 2 = 0) AS segment, 'by ' || max(o_orderkey) FILTER (o_orderkey % 2 = 1) AS note
+       FROM orders GROUP BY o_custkey""",
+)
+SELECTS["stream_captured_table"] = SELECTS["cdc_sql_view"]
+SELECTS["stream_base_db"] = (
+    ["cleaned"],
+    """SELECT target, id, detail FROM (
+         SELECT *, CASE WHEN tbl <> 'orders' OR op = 'delete' OR (op = 'update' AND third = 2) THEN 'rejected'
+             WHEN op = 'update' THEN 'dim_orders' WHEN third = 0 THEN 'dwd_orders' ELSE 'dwd_later' END AS target,
+           CASE WHEN tbl <> 'orders' OR op = 'delete' OR (op = 'update' AND third = 2) THEN 'no rule'
+             WHEN op = 'update' THEN status WHEN third = 0 THEN total END AS detail
+         FROM (SELECT *, CASE WHEN kind = 'bootstrap-insert' THEN 'insert' ELSE kind END AS op,
+                 least(2, 3 * o_orderkey // ((SELECT max(o_orderkey) FROM orders) + 1)) AS third FROM cleaned))""",
+)
 # No refunds and no comments come.
 CTES["idle_pstats"] = (["idle_measures"], CTES["pstats"][1].replace("FROM measures", "FROM idle_measures"))
 _needs, _select = SELECTS["product_stats_wide"]

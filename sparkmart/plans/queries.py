@@ -287,6 +287,34 @@ def dim_upsert_deletes(fx: Fixtures) -> DataFrame:
     return dims.read("customer", apply_deletes=True)
 
 
+@query
+def dim_upsert_tied(fx: Fixtures) -> DataFrame:
+    """Order changes by customer, ten orders to a sequence number: the later of a tie sets all that it carries."""
+    dims = DimTables(fx.spark, f"{shared_dir(fx.spark)}/{uuid.uuid4().hex}")
+    dims.create("customer", "id,name,segment,note")
+    order = {"id": F.col("o_custkey").cast("string"), "name": F.concat(F.lit("name "), F.col("o_orderkey"))}
+    entries = [x for name, value in order.items() for x in (F.lit(name), value)]
+    # Each change carries one more column, by its key
+    more = F.when(F.col("o_orderkey") % 2 == 0, "segment").otherwise("note")
+    position = F.struct(F.lit(0).cast("long").alias("part"), F.col("o_orderkey").alias("offset"))
+    rows = fx.table("orders").select(
+        F.call_function("div", "o_orderkey", F.lit(10)).alias("seq"), position.alias("position"), F.lit("customer").alias("sink_table"),
+        order["id"].alias("pk"), F.lit("update").alias("type"),
+        F.create_map(*entries, more, F.concat(F.lit("by "), F.col("o_orderkey"))).alias("data"),
+    )
+    dims.upsert(rows, 0)
+    dims.compact("customer")
+    return dims.read("customer")
+
+
+@query
+def cdc_rules_tied(fx: Fixtures) -> DataFrame:
+    """Rules in force where a hundred changes have one time and their order decides."""
+    position = F.struct(F.lit(0).cast("long").alias("part"), F.col("ts").alias("offset"))
+    tied = fx.rule_changes().withColumn("position", position).withColumn("ts", F.call_function("div", "ts", F.lit(100)))
+    return cdc.current_rules(tied, ["ts", "position"])
+
+
 # Logs ------------------------------------------------------------------------
 
 

@@ -29,6 +29,7 @@ from sparkmart.plans.queries import (
     query,
 )
 from sparkmart.session import shared_dir, streaming_session
+from sparkmart.sinks.dims import DimTables
 from sparkmart.sources.topics import literal_topic
 from sparkmart.streaming import jobs
 
@@ -42,13 +43,13 @@ def _warehouse(fx: Fixtures) -> jobs.Warehouse:
     return jobs.Warehouse(session, f"{shared_dir(fx.spark)}/{uuid.uuid4().hex}", trigger={"availableNow": True})
 
 
-def _publish(wh: jobs.Warehouse, producer: str, **messages: DataFrame) -> None:
+def _publish(wh: jobs.Warehouse, producer: str, batch_id: int = 0, **messages: DataFrame) -> None:
     """One batch of messages, by topic."""
     named = [df.select(F.lit(topic).alias("topic"), "value") for topic, df in messages.items()]
     union = named[0]
     for frame in named[1:]:
         union = union.unionByName(frame)
-    wh.topics.publish(union, producer, 0)
+    wh.topics.publish(union, producer, batch_id)
 
 
 def _run(*queries: StreamingQuery) -> None:
@@ -231,3 +232,62 @@ def stream_product_stats_idle(fx: Fixtures) -> DataFrame:
     _run(jobs.product_stats(wh, ORDER_WINDOW))
     stats = fx.spark.read.parquet(f"{wh.root}/stats/product_stats")
     return stats.where(F.col("sku_id") >= 0).drop("ts", "batch")
+
+
+def _thirds(fx: Fixtures, df: DataFrame) -> list[DataFrame]:
+    """Messages by order key, in three batches, each in the order of its keys."""
+    last = fx.table("orders").agg(F.max("o_orderkey")).first()[0]
+    place = F.least(F.lit(2), F.call_function("div", 3 * F.col("o_orderkey"), F.lit(last + 1)))
+    return [df.where(place == i).orderBy("o_orderkey") for i in range(3)]
+
+
+def _tied(envelopes: DataFrame) -> DataFrame:
+    """The same envelopes, all of one time: only the order in which they come tells which is the last."""
+    return envelopes.withColumn("value", F.regexp_replace("value", r'"ts_ms":\d+', '"ts_ms":1'))
+
+
+@query
+def stream_captured_table(fx: Fixtures) -> DataFrame:
+    """Envelopes of one time, over three batches with a compaction, as a stored table."""
+    wh = _warehouse(fx)
+    store = DimTables(fx.spark, f"{wh.root}/captured/user_info")
+    for i, messages in enumerate(_thirds(fx, _tied(fx.envelopes()))):
+        _publish(wh, "ods_users", i, ods_users=messages)
+        _run(jobs.capture_table(wh, "ods_users", "user_info"))
+        if i == 1:
+            store.compact("user_info")
+    rows = store.read("user_info", columns=["id", "name", "age"], apply_deletes=True)
+    return rows.select(F.col("id").cast("int").alias("id"), "name", F.col("age").cast("int").alias("age"))
+
+
+@query
+def stream_base_db(fx: Fixtures) -> DataFrame:
+    """Change records over three batches while rules change: facts, dimension rows and rejected records.
+
+    In the second batch inserts go to another topic, and in the third updates have no rule any more.
+    """
+    wh = _warehouse(fx)
+
+    def rule(op: str, kind: str, ts: int, sink_type: str = "", sink_table: str = "", columns: str = "", pk: str | None = None) -> str:
+        data = dict(zip(schemas.RULE_FIELDS.values(), ["orders", kind, sink_type, sink_table, columns, pk, None]))
+        image = "before" if op == "d" else "after"
+        return json.dumps({"op": op, "source": {"db": "shop", "table": "table_process"}, image: data, "ts_ms": ts})
+
+    changes = [
+        [rule("r", "insert", 1, "kafka", "dwd_orders", "id,total"), rule("r", "update", 1, "hbase", "dim_orders", "id,status", "id")],
+        # Both of one time: the second one counts
+        [rule("u", "insert", 2, "kafka", "dwd_nowhere", "id"), rule("u", "insert", 2, "kafka", "dwd_later", "id,note")],
+        [rule("d", "update", 3)],
+    ]
+    rules = jobs.rules_from_topic(wh, "ods_rules")
+    for i, (records, rule_changes) in enumerate(zip(_thirds(fx, fx.change_records()), changes)):
+        _publish(wh, "ods_rules", i, ods_rules=literal_topic(fx.spark, rule_changes))
+        _publish(wh, jobs.RAW_DB, i, **{jobs.RAW_DB: records})
+        _run(jobs.base_db(wh, rules))
+    stored = fx.spark.read.schema("value string, topic string").parquet(f"{wh.root}/topics/{jobs.DB_JOB}")
+    facts = stored.where(F.col("topic").startswith("dwd_") & F.col("topic").isin("dwd_orders", "dwd_nowhere", "dwd_later"))
+    facts = facts.select(F.col("topic").alias("target"), F.get_json_object("value", "$.id").alias("id"), F.get_json_object("value", "$.total").alias("detail"))
+    dims = wh.dims.read("dim_orders").select(F.lit("dim_orders").alias("target"), "id", F.col("status").alias("detail"))
+    rejected = fx.spark.read.parquet(f"{wh.root}/rejected/{jobs.DB_JOB}")
+    rejected = rejected.select(F.lit("rejected").alias("target"), F.get_json_object("data", "$.id").alias("id"), F.col("reason").alias("detail"))
+    return facts.unionByName(dims).unionByName(rejected)
