@@ -50,7 +50,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # Where a text holds the string of a special token, that token ends words, so the text is not cut.
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(added)).search if added else lambda text: None
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         ids = self.tokenizer.encode_batch_fast([JOINT], add_special_tokens=False)[0].ids
@@ -66,7 +68,7 @@ class Encoder:
         if not self.joins:
             return self._each(parts)
         # A space at the end, or a quote at the beginning that may be a contraction's, has to stand alone.
-        alone = [x for x in parts if JOINT in x or x[0] == "'" or x[-1].isspace()]
+        alone = [x for x in parts if JOINT in x or x[0] == "'" or x[-1].isspace() or self.special(x)]
         together = list(set(parts).difference(alone))
         out = self._each(alone)
         for at in range(0, len(together), 2000):
@@ -89,20 +91,19 @@ class Encoder:
         return out + self._encode(texts[at:])
 
     def _encode(self, texts: Sequence[str]) -> list[bytes]:
-        cut = [[t] if _other_space(t) else _parts(t) for t in texts]
-        get = self.known.get
-        found = [list(map(get, parts)) for parts in cut]
-        missing = {x for parts, ids in zip(cut, found) if None in ids for x, i in zip(parts, ids) if i is None}
-        ids = {x: self.older[x] for x in missing.intersection(self.older)}
-        new = self.fresh(list(missing.difference(ids)))
-        ids.update(new)
-        out = [
-            b"".join([ids[x] if i is None else i for x, i in zip(parts, some)] if None in some else some)
-            for parts, some in zip(cut, found)
-        ]
-        self.known.update((x, i) for x, i in ids.items() if len(x) <= CACHED_LENGTH)
-        if len(self.known) > CACHED:
-            self.older, self.known = self.known, {}
+        cut = [[t] if _other_space(t) or self.special(t) else _parts(t) for t in texts]
+        known = self.known
+        missing = set(chain.from_iterable(cut)).difference(known)
+        old = {x: self.older[x] for x in missing.intersection(self.older)}
+        new = self.fresh(list(missing.difference(old)))
+        known |= old
+        known |= new
+        out = [b"".join(map(known.__getitem__, parts)) for parts in cut]
+        for x in new:
+            if len(x) > CACHED_LENGTH:
+                del known[x]
+        if len(known) > CACHED:
+            self.older, self.known = known, {}
         return out
 
 

@@ -33,9 +33,8 @@ def odd_texts(n, seed=1, longest=30):
 
 
 def test_ids_are_the_tokenizers_own():
-    texts = odd_texts(4000) + ["x" * 3000, "word " * 3000]
+    texts = odd_texts(4000) + ["x" * 3000, "word " * 3000, "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>'s <|endoftext|>", "<|endof text|>"]
     tokenizer = Tokenizer.from_file(BPE)
-    tokenizer.encode_special_tokens = True
     want = [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
     encoder = packing.Encoder(BPE)
     assert encoder.joins
@@ -43,6 +42,21 @@ def test_ids_are_the_tokenizers_own():
     assert got == want
 
 
+def test_largest_counts(spark):
+    def kept(counts, limit):
+        df = spark.createDataFrame([(f"w{i:03}", n) for i, n in enumerate(counts)], "word string, n long")
+        return sorted((r["n"], r["word"]) for r in common.largest_counts(df, limit, "word").collect())
+
+    assert kept([5, 3, 3, 1], 3) == [(3, "w001"), (3, "w002"), (5, "w000")]
+    assert kept([5, 3, 3, 1], 2) == [(5, "w000")]  # of equal counts all or none
+    assert kept([], 4) == []
+    # More rows than the limit with counts above it
+    assert kept(range(100, 112), 8) == [(n, f"w{n - 100:03}") for n in range(104, 112)]
+    assert kept([9] * 12, 8) == [(9, f"w{i:03}") for i in range(8)]
+    assert kept([2**40 + i for i in range(12)], 8) == [(2**40 + i, f"w{i:03}") for i in range(4, 12)]
+    assert kept([2**40, 2**41, 2**41 + 1, 50], 3) == [(2**40, "w000"), (2**41, "w001"), (2**41 + 1, "w002")]
+
+
 def test_packing(spark):
     texts = [None, "", "a", "b c " * 3000] + odd_texts(300, 2) + ["copy of it"] * 700
     rows = [(i if i % 50 else None, t, 9) for i, t in enumerate(texts)]
@@ -54,7 +68,6 @@ def test_packing(spark):
         by_doc[r["doc_id"]].append(r)
         assert 0 < r["length"] <= capacity and len(r["ids"]) == 4 * r["length"]
     tokenizer = Tokenizer.from_file(BPE)
-    tokenizer.encode_special_tokens = True
     for i, t, _ in rows:
         if i is not None:
             pieces = sorted(by_doc[i], key=lambda r: r["piece"])
