@@ -157,17 +157,23 @@ def share_of_ids(key: str, salt: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key), F.lit(salt)), F.lit(2**30)) / F.lit(float(2**30))
 
 
-def largest_counts(counts: DataFrame, limit: int) -> DataFrame:
+def largest_counts(counts: DataFrame, limit: int, key: str) -> DataFrame:
     """The rows of ``counts`` (with a count ``n``) above the least bound that leaves at most ``limit`` of them.
 
-    The bound comes from the number of rows of each count, counts above ``limit`` being one
-    class; so no more than ``limit`` rows come to the driver, and no more are returned.
+    The bound comes from the number of rows of each count, where counts above ``limit`` are told apart
+    by their first thirteen bits; so a bounded number of rows comes to the driver.  If the highest of these
+    classes alone has more rows than ``limit``, the largest of it by ``n``, then the least by ``key``, are returned.
     """
-    classes = counts.groupBy(F.least("n", F.lit(limit)).alias("n")).agg(F.count("*").alias("k")).collect()
+    steps = F.expr("shiftleft(1L, greatest(0, cast(floor(log2(n)) AS int) - 12))")
+    at = F.when(F.col("n") <= limit, F.col("n")).otherwise(F.greatest(F.col("n") - F.pmod(F.col("n"), steps), F.lit(limit + 1)))
+    classes = counts.groupBy(at.alias("n")).agg(F.count("*").alias("k")).collect()
     total, least = 0, None
     for n, k in sorted(((r["n"], r["k"]) for r in classes), reverse=True):
         total += k
         if total > limit:
             break
         least = n
+    if least is None and classes:
+        top = counts.where(F.col("n") >= max(r["n"] for r in classes))
+        return top.orderBy(F.desc("n"), key).limit(limit)
     return counts.where(F.lit(False) if least is None else F.col("n") >= least)

@@ -130,7 +130,7 @@ def frequent_tokens(docs: DataFrame) -> np.ndarray:
     sample = docs.where(F.pmod(row_key(), F.lit(2**20)) < int(SAMPLE_SHARE * 2**20)).select("text")
     counts = sample.mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_COUNT)
     counts = written(counts, "frequent")
-    chosen = largest_counts(counts, MAX_FREQUENT).select("token").toPandas()
+    chosen = largest_counts(counts, MAX_FREQUENT, "token").select("token").toPandas()
     return np.sort(chosen["token"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
