@@ -476,6 +476,7 @@ SELECTS["dim_upsert_tied"] = (
        'by ' || max(o_orderkey) FILTER (o_orderkey % 2 = 0) AS segment, 'by ' || max(o_orderkey) FILTER (o_orderkey % 2 = 1) AS note
        FROM orders GROUP BY o_custkey""",
 )
+SELECTS["stream_pattern_match"] = SELECTS["pattern_match"]
 SELECTS["stream_captured_table"] = SELECTS["cdc_sql_view"]
 SELECTS["stream_base_db"] = (
     ["cleaned"],

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sparkmart import schemas
 from sparkmart.functions import timeutil as tu
 from sparkmart.functions.jsonutil import to_json_rows, to_json_text
-from sparkmart.operators import logs, wide
+from sparkmart.operators import logs, measures, visitors, wide
 from sparkmart.plans.fixtures import AS_OF, Fixtures
 from sparkmart.plans.queries import (
     message_fields,
@@ -291,3 +291,23 @@ def stream_base_db(fx: Fixtures) -> DataFrame:
     rejected = fx.spark.read.parquet(f"{wh.root}/rejected/{jobs.DB_JOB}")
     rejected = rejected.select(F.lit("rejected").alias("target"), F.get_json_object("data", "$.id").alias("id"), F.col("reason").alias("detail"))
     return facts.unionByName(dims).unionByName(rejected)
+
+
+@query
+def stream_pattern_match(fx: Fixtures) -> DataFrame:
+    """Entry pages and the product page right after each, over three batches in the order of time."""
+    wh = _warehouse(fx)
+    pages = logs.page_logs(logs.repair_new_visitors(fx.logs()))
+    start, end = pages.agg(F.min("ts"), F.max("ts")).first()
+    third = F.least(F.lit(2), F.call_function("div", 3 * (F.col("ts") - start), F.lit(end - start + 1)))
+    opened = F.col("page.page_id") == measures.PRODUCT_PAGE
+    for i in range(3):
+        messages = logs.encode_logs(pages.where(third == i))
+        if i == 2:
+            messages = messages.unionByName(_closing_logs(wh))
+        _publish(wh, jobs.LOG_JOB, i, **{logs.PAGE_TOPIC: messages})
+        _run(jobs.page_pairs(wh, visitors.is_entry_page(), opened, BOUNCE_SECONDS))
+    found = wh.topics.read(fx.spark, jobs.PAGE_PAIRS)
+    of = F.from_json("value", "event_id bigint, ts bigint, next struct<event_id bigint, ts bigint>")
+    rows = found.select(of.alias("pair")).select("pair.*")
+    return rows.select("event_id", F.col("next.event_id").alias("next_event_id"), (F.col("next.ts") - F.col("ts")).alias("gap_ms"))

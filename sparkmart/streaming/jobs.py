@@ -25,6 +25,7 @@ from sparkmart.functions import timeutil as tu
 from sparkmart.functions.jsonutil import CORRUPT, split_corrupt, to_json_text
 from sparkmart.operators import logs, measures, routing, stats, visitors, wide
 from sparkmart.operators.joins import bounded_broadcast
+from sparkmart.operators.patterns import MATCHED, followed_by
 from sparkmart.session import shared_dir
 from sparkmart.sinks.batches import AppendedTable, publish_batch
 from sparkmart.sinks.dims import MAX_BROADCAST_KEYS, DimTables
@@ -39,6 +40,7 @@ RAW_LOG = "ods_base_log"
 RAW_DB = "ods_base_db_m"
 UNIQUE_VISIT = "dwm_unique_visit"
 USER_JUMP = "dwm_user_jump_detail"
+PAGE_PAIRS = "dwm_page_pairs"
 ORDER_INFO = "dwd_order_info"
 ORDER_DETAIL = "dwd_order_detail"
 PAYMENT_INFO = "dwd_payment_info"
@@ -392,6 +394,19 @@ def user_jump(wh: Warehouse, within_seconds: int = 10) -> StreamingQuery:
     return wh.start_topic(job, USER_JUMP, found.select(F.coalesce(come, logs.RAW).alias("value")))
 
 
+def page_pairs(wh: Warehouse, first: Column, follow: Column, within_seconds: int = 10) -> StreamingQuery:
+    """Page logs to pairs of a ``first`` page and the one right after it, if that is a ``follow`` in time."""
+    job = "page_pairs"
+    pages = wh.logs(logs.PAGE_TOPIC, job).withWatermark("event_time", wh.watermark)
+    columns = ["common", "page", "ts", "event_id", "event_time"]
+    rows = pages.select(*columns, progress.MARK)
+    # Progress moves the watermark; alone in its key it is in no pair
+    found = followed_by(rows, visitors.MID, first, follow, within_seconds, MATCHED)
+    fields = [c for c in columns if c != "event_time"]
+    follower = F.struct(*(F.col(f"next.{c}").alias(c) for c in fields)).alias("next")
+    return wh.start_topic(job, PAGE_PAIRS, found.select(to_json_text(*fields, follower).alias("value")))
+
+
 def order_wide(
     wh: Warehouse, lower_seconds: int = -5, upper_seconds: int = 5, as_of: Column | None = None
 ) -> StreamingQuery:
