@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from sparkmart import schemas
 from sparkmart.functions import timeutil as tu
 from sparkmart.functions.codes import decode_code
-from sparkmart.functions.jsonutil import CORRUPT, split_corrupt, to_json_text
+from sparkmart.functions.jsonutil import CORRUPT, evaluate_once, split_corrupt, to_json_text
 from sparkmart.operators import joins, logs, measures, patterns, routing, stats, visitors, wide
 from sparkmart.plans.fixtures import AS_OF, Fixtures
 from sparkmart.session import configure, shared_dir
@@ -324,24 +324,31 @@ def new_visitor_repair(fx: Fixtures) -> DataFrame:
     return repaired.select("event_id", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"))
 
 
-def message_fields() -> list[Column]:
-    """What a message of the split holds, fields that no schema knows included."""
-    read = lambda path: F.get_json_object("value", f"$.{path}")
-    return [
-        read("ts").cast("long").alias("ts"),
-        read("common.is_new").alias("is_new"),
-        read("common.uid").alias("uid"),
-        read("common.os").alias("os"),
-        F.coalesce(read("page.page_id"), read("page_id")).alias("page_id"),
-        read("page.source_type").alias("source_type"),
-        read("actions[0].action_id").alias("action"),
-        read("err.code").cast("long").alias("error"),
-        read("item").alias("item"),
-        read("item_type").alias("item_type"),
-        read("order").cast("long").alias("shown_order"),
-        read("display_type").alias("display_type"),
-        F.size(F.json_object_keys("value")).cast("long").alias("n_fields"),
-    ]
+#: What a message of the split holds, fields that no schema knows included.
+MESSAGE = """ts STRING, common STRUCT<is_new: STRING, uid: STRING, os: STRING>, page STRUCT<page_id: STRING, source_type: STRING>,
+    page_id STRING, actions ARRAY<STRUCT<action_id: STRING>>, err STRUCT<code: STRING>, item STRING, item_type STRING,
+    order STRING, display_type STRING"""
+
+
+def message_fields(messages: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` and the fields of the messages in ``value``, each parsed once."""
+    counted = messages.withColumn("n_fields", F.size(F.json_object_keys("value")).cast("long"))
+    return evaluate_once(counted, F.from_json("value", MESSAGE), [*keep, "n_fields"]).select(
+        *keep,
+        F.col("ts").cast("long").alias("ts"),
+        "common.is_new",
+        "common.uid",
+        "common.os",
+        F.coalesce("page.page_id", "page_id").alias("page_id"),
+        "page.source_type",
+        F.get("actions", F.lit(0))["action_id"].alias("action"),
+        F.col("err.code").cast("long").alias("error"),
+        "item",
+        "item_type",
+        F.col("order").cast("long").alias("shown_order"),
+        "display_type",
+        "n_fields",
+    )
 
 
 @query
@@ -349,7 +356,7 @@ def log_split(fx: Fixtures) -> DataFrame:
     """Every output message of the split, by topic, with all its fields."""
     decoded, _ = split_corrupt(logs.decode_logs(fx.whole_logs(), keep_text=True))
     messages = logs.log_outputs(logs.repair_new_visitors(decoded), "event_id")
-    return messages.select("event_id", "topic", *message_fields())
+    return message_fields(messages, "event_id", "topic")
 
 
 @query

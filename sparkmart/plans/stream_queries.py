@@ -82,7 +82,7 @@ def stream_log_split(fx: Fixtures) -> DataFrame:
     _run(jobs.base_log(wh))
     topics = (logs.START_TOPIC, logs.PAGE_TOPIC, logs.DISPLAY_TOPIC)
     published = [wh.topics.read(fx.spark, t).withColumn("topic", F.lit(t)) for t in topics]
-    return published[0].union(published[1]).union(published[2]).select("topic", *message_fields())
+    return message_fields(published[0].union(published[1]).union(published[2]), "topic")
 
 
 @query
