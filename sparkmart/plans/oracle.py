@@ -476,6 +476,16 @@ SELECTS["dim_upsert_tied"] = (
        'by ' || max(o_orderkey) FILTER (o_orderkey % 2 = 0) AS segment, 'by ' || max(o_orderkey) FILTER (o_orderkey % 2 = 1) AS note
        FROM orders GROUP BY o_custkey""",
 )
+SELECTS["stream_raw_landing"] = (
+    [],
+    "SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS messages, CAST(sum(event_id) AS BIGINT) AS ids FROM events GROUP BY 1",
+)
+SELECTS["stream_unusable"] = (
+    ["ev"],
+    """SELECT CAST(event_id % 3 AS INT) AS batch, reason, count(*) AS n FROM (
+         SELECT event_id, CASE WHEN CAST(round(value * 1000) AS BIGINT) % 50 = 49 THEN 'no JSON object'
+           WHEN event_id % 7 = 0 THEN 'no event time' END AS reason FROM ev) WHERE reason IS NOT NULL GROUP BY ALL""",
+)
 SELECTS["stream_pattern_match"] = SELECTS["pattern_match"]
 SELECTS["stream_captured_table"] = SELECTS["cdc_sql_view"]
 SELECTS["stream_base_db"] = (

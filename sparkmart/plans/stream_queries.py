@@ -311,3 +311,30 @@ def stream_pattern_match(fx: Fixtures) -> DataFrame:
     of = F.from_json("value", "event_id bigint, ts bigint, next struct<event_id bigint, ts bigint>")
     rows = found.select(of.alias("pair")).select("pair.*")
     return rows.select("event_id", F.col("next.event_id").alias("next_event_id"), (F.col("next.ts") - F.col("ts")).alias("gap_ms"))
+
+
+@query
+def stream_raw_landing(fx: Fixtures) -> DataFrame:
+    """Log files through the raw topic to one folder a day: messages and their ids by day."""
+    wh = _warehouse(fx)
+    fx.whole_logs().write.text(f"{wh.root}/files")
+    _run(jobs.collect_logs(wh, f"{wh.root}/files"))
+    _run(jobs.land_raw_logs(wh, f"{wh.root}/landed"))
+    landed = fx.spark.read.text(f"{wh.root}/landed")
+    event_id = F.get_json_object("value", "$.event_id").cast("long")
+    return landed.groupBy(F.col("day").cast("string").alias("day")).agg(F.count("*").alias("messages"), F.sum(event_id).alias("ids"))
+
+
+@query
+def stream_unusable(fx: Fixtures) -> DataFrame:
+    """Of three batches of raw logs, some broken off and some without a time, what consumers leave out and why."""
+    wh = _warehouse(fx)
+    timeless = F.when(F.col("log_id") % 7 == 0, F.regexp_replace("value", r',"ts":\d+', "")).otherwise(F.col("value"))
+    rows = fx.raw_logs().withColumn("value", timeless)
+    for i in range(3):
+        _publish(wh, jobs.LOG_JOB, i, **{logs.PAGE_TOPIC: rows.where(F.col("log_id") % 3 == i)})
+        _run(jobs.keep_unusable(wh, logs.PAGE_TOPIC))
+    kept = fx.spark.read.parquet(f"{wh.root}/unusable/{logs.PAGE_TOPIC}")
+    return kept.groupBy("batch", "reason").agg(F.count("*").alias("n")).select(
+        (F.col("batch") % jobs.BATCHES_PER_EPOCH).cast("int").alias("batch"), "reason", "n"
+    )

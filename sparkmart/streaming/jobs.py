@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sparkmart import schemas
 from sparkmart.functions import timeutil as tu
-from sparkmart.functions.jsonutil import CORRUPT, split_corrupt, to_json_text
+from sparkmart.functions.jsonutil import CORRUPT, parse_json, split_corrupt, to_json_text
 from sparkmart.operators import logs, measures, routing, stats, visitors, wide
 from sparkmart.operators.joins import bounded_broadcast
 from sparkmart.operators.patterns import MATCHED, followed_by
@@ -248,6 +248,45 @@ def land_raw_logs(wh: Warehouse, path: str) -> StreamingQuery:
     return writer.trigger(**wh.trigger).start()
 
 
+#: How the messages of a topic are read: schema and time field of facts; logs otherwise.
+FACT_TOPICS = {
+    ORDER_INFO: (schemas.ORDER_INFO, "create_time"),
+    ORDER_DETAIL: (schemas.ORDER_DETAIL, "create_time"),
+    PAYMENT_INFO: (schemas.PAYMENT_INFO, "callback_time"),
+    FAVOR_INFO: (schemas.FAVOR_INFO, "create_time"),
+    CART_INFO: (schemas.CART_INFO, "create_time"),
+    REFUND_INFO: (schemas.REFUND_INFO, "create_time"),
+    COMMENT_INFO: (schemas.COMMENT_INFO, "create_time"),
+    ORDER_WIDE: (schemas.ORDER_WIDE, "create_time"),
+    PAYMENT_WIDE: (schemas.PAYMENT_WIDE, "callback_time"),
+}
+NO_TIME, NO_JSON = "no event time", "no JSON object"
+
+
+def unusable(wh: Warehouse, topic: str) -> DataFrame:
+    """value and reason of the messages that no consumer of a topic can use: unreadable, or without an event time.
+
+    Windows and interval joins have no place for such rows.  Progress is not among them.
+    """
+    raw = wh.read(topic, f"unusable_{topic}")
+    if topic in FACT_TOPICS:
+        schema, time = FACT_TOPICS[topic]
+        kept = raw.select("value", F.col("value").alias("text"))
+        parsed = parse_json(kept, schema, keep=("text",))
+        at = tu.text_to_timestamp(time)
+    else:
+        parsed = logs.decode_logs(raw, keep_text=True).withColumnRenamed(logs.RAW, "text")
+        at = F.col("event_time")
+    reason = F.when(F.col(CORRUPT).isNotNull() | F.col("text").isNull(), NO_JSON).when(at.isNull(), NO_TIME)
+    return parsed.select(F.col("text").alias("value"), reason.alias("reason")).where("reason IS NOT NULL")
+
+
+def keep_unusable(wh: Warehouse, topic: str) -> StreamingQuery:
+    """The `unusable` messages of a topic as a table, so that what its consumers leave out is not lost."""
+    job = f"unusable_{topic}"
+    return wh.start(job, unusable(wh, topic), lambda batch, i: publish_batch(batch, f"{wh.root}/unusable/{topic}", i))
+
+
 FIRST_VISITS = schemas.row(mid=schemas.TEXT, first_ts=schemas.LONG)
 
 
