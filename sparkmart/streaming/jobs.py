@@ -412,10 +412,18 @@ def rules_from_topic(wh: Warehouse, topic: str) -> Callable[[], DataFrame]:
 # Wide layer -----------------------------------------------------------------
 
 
+def _visits(wh: Warehouse, job: str) -> DataFrame:
+    """Page logs with what visits and bounces look at and the message's text, so that no state holds more."""
+    page = F.struct("page.page_id", "page.last_page_id").alias("page")
+    return wh.logs(logs.PAGE_TOPIC, job).select(
+        F.struct("common.mid").alias("common"), page, "ts", "event_id", "event_time", logs.RAW, progress.MARK
+    )
+
+
 def unique_visitor(wh: Warehouse, delay: str = "2 days") -> StreamingQuery:
     """Page logs to the first entry page per visitor and day, as whole messages."""
     job = "unique_visitor"
-    first = visitors.unique_visitors_stream(wh.logs(logs.PAGE_TOPIC, job), delay)
+    first = visitors.unique_visitors_stream(_visits(wh, job), delay)
     return wh.start_topic(job, UNIQUE_VISIT, first.select(F.col(logs.RAW).alias("value")), "update")
 
 
@@ -426,7 +434,7 @@ def user_jump(wh: Warehouse, within_seconds: int = 10) -> StreamingQuery:
     that end after its own, so it trails by as much.
     """
     job = "user_jump"
-    pages = wh.logs(logs.PAGE_TOPIC, job).withWatermark("event_time", wh.watermark)
+    pages = _visits(wh, job).withWatermark("event_time", wh.watermark)
     found = visitors.bounces(pages, within_seconds)
     at = F.col("event_time") - F.expr(f"INTERVAL {2 * int(within_seconds)} SECONDS")
     come = F.when(F.col(progress.MARK).isNotNull(), progress.message(at, F.col(progress.MARK)))
