@@ -10,15 +10,19 @@ opened and compared member by member.
   documents) last, else by hash.  Similar sets share one of their first tokens, so the matrix
   holds the first tokens only; the order keeps frequent passages out of it where a text has
   anything else.
-* Groups: each document joins the most central document that it shares most first tokens with,
-  if their whole sets are similar enough to link.  That takes one comparison a document, also
-  within a group of any size.
-* A document and another group: the document's first tokens up to the end of the shortest
+* Each document is compared with its pivot, the most central document that it shares most first
+  tokens with.  That takes one comparison a document and joins most of what links.
+* Documents that share enough of their first tokens with their pivots are one cluster, linked or not, and so
+  are those whose first tokens reach the same frequent passage.  What
+  does not hang together in a cluster yet is compared in it, whole set with whole set, in
+  parts of bounded size: near misses, which no bound tells apart, never meet by tokens.
+* The groups of the matrix are what a component has in a cluster.  A document and a group of
+  another cluster: the document's first tokens up to the end of the shortest
   prefix in the group, less those that the union has, are certain to be missing in every member.
 * Groups that qualify are compared by their heads at first, which joins most of them; what
   is left is opened, in parts of bounded size.
 
-Links decide components only, so no pairs within a group are made.  Whole texts are read again
+Links decide components only, so no pairs within a component are made.  Whole texts are read again
 for the sets of the documents that are compared; a fixed-size bitmap leaves out the others early.
 """
 
@@ -42,6 +46,8 @@ SAMPLE_SHARE, MAX_FREQUENT, LEAST_COUNT = 1 / 16, 2**18, 3
 FREQUENT = np.uint64(1 << 63)
 #: Members of a part of a group that is opened, queries that meet there, and parts of a frequent token.
 PART_MEMBERS, PART_QUERIES, TOKEN_PARTS = 64, 200, 32
+#: Comparisons of two sets in a cluster; what would take more is clustered more finely.  A matter of cost only.
+MAX_COMPARED = 2**24
 #: Words of the bitmap that leaves out documents early (64 bits each).
 BITMAP_WORDS = 2**18
 
@@ -257,9 +263,9 @@ def centrality(rows: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def pivots(rows: DataFrame, central: DataFrame) -> DataFrame:
-    """(id, g): the most central document of the most first tokens of a document.
+    """(id, g, strong): the most central document of the most first tokens of a document.
 
-    Pivots with a small share of a document's tokens are left out.
+    Pivots with a small share of a document's tokens are left out; strong ones have half of the first tokens.
     """
     scored = rows.join(central, "id").select("token", "id", "n", F.struct("central", (-F.col("id")).alias("id")).alias("rank"))
     of_token = scored.groupBy("token").agg(F.max("rank").alias("top"))
@@ -267,7 +273,8 @@ def pivots(rows: DataFrame, central: DataFrame) -> DataFrame:
         F.count("*").alias("k"), F.min("n").alias("n")
     )
     best = votes.groupBy("id").agg(F.max(F.struct("k", "pivot")).alias("b"), F.min("n").alias("n"))
-    return best.where(F.col("b.k") * 400 >= F.col("n") * (100 - PERCENT)).select("id", (-F.col("b.pivot.id")).alias("g"))
+    share = lambda parts: F.col("b.k") * 100 * parts >= F.col("n") * (100 - PERCENT)
+    return best.where(share(4)).select("id", (-F.col("b.pivot.id")).alias("g"), share(2).alias("strong"))
 
 
 def _bitmap(ids: DataFrame) -> np.ndarray:
@@ -302,9 +309,12 @@ def verified(docs: DataFrame, queries: DataFrame, members: DataFrame, frequent:
     """(a, b) for each query and part of a group that it links with a member of.
 
     ``queries`` (id, g) are compared with ``members`` (id, g) of their group: one link with a part
-    is enough, since members of a group belong together already.  Members and queries of a
-    group are dealt over parts, so that no task gets a whole group.
+    is enough, since members of a group belong together already.  With a column ``label`` they
+    do only as far as their labels are equal: then there is one link for each label but the
+    query's own.  Members and queries of a group are dealt over parts, so that no task gets a whole group.
     """
+    if "label" not in queries.columns:
+        queries, members = (df.withColumn("label", F.lit(None).cast("long")) for df in (queries, members))
     queries, members = written(queries, "queries"), written(members, "members")
     sizes = (
         queries.groupBy("g").agg(F.count("*").alias("nq")).join(members.groupBy("g").agg(F.count("*").alias("nm")), "g")
@@ -312,8 +322,8 @@ def verified(docs: DataFrame, queries: DataFrame, members: DataFrame, frequent:
     )
     part = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    asked = queries.join(sizes, "g").select("id", "g", every("ms").alias("m"), part("qs", 5).alias("q"), F.lit(1).alias("kind"))
-    held = members.join(sizes, "g").select("id", "g", part("ms", 6).alias("m"), every("qs").alias("q"), F.lit(0).alias("kind"))
+    asked = queries.join(sizes, "g").select("id", "g", "label", every("ms").alias("m"), part("qs", 5).alias("q"), F.lit(1).alias("kind"))
+    held = members.join(sizes, "g").select("id", "g", "label", part("ms", 6).alias("m"), every("qs").alias("q"), F.lit(0).alias("kind"))
     rows = asked.unionByName(held)
     ids = queries.select("id").unionByName(members.select("id")).distinct()
     sets = sets_of(docs, ids, frequent)
@@ -323,13 +333,14 @@ def verified(docs: DataFrame, queries: DataFrame, members: DataFrame, frequent:
         now, names, tokens, owner = None, [], None, None
         for batch in batches:
             a, b = [], []
-            columns = [batch.column(c).to_pylist() for c in ("id", "g", "m", "q", "kind", "tokens")]
-            for name, g, m, q, kind, data in zip(*columns):
+            columns = [batch.column(c).to_pylist() for c in ("id", "g", "label", "m", "q", "kind", "tokens")]
+            for name, g, label, m, q, kind, data in zip(*columns):
                 if (g, m, q) != now:
-                    now, names, sets_here, tokens = (g, m, q), [], [], None
+                    now, names, labels, sets_here, tokens = (g, m, q), [], [], [], None
                 mine = np.frombuffer(data, dtype=np.uint64)
                 if kind == 0:
                     names.append(name)
+                    labels.append(label)
                     sets_here.append(mine)
                     continue
                 if not names:
@@ -342,42 +353,95 @@ def verified(docs: DataFrame, queries: DataFrame, members: DataFrame, frequent:
                 at = np.minimum(np.searchsorted(mine, tokens), len(mine) - 1)
                 both = np.bincount(owner[mine[at] == tokens], minlength=len(names))
                 linked = np.flatnonzero(100 * both >= PERCENT * (size + len(mine) - both))
-                if len(linked):
-                    a.append(name)
-                    b.append(names[linked[0]])
+                if label is None:
+                    found = [names[i] for i in linked[:1]]
+                else:
+                    found = {labels[i]: names[i] for i in linked if labels[i] != label}.values()
+                a += [name] * len(found)
+                b += found
             if a:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return written(dealt.mapInArrow(run, "a long, b long"), "links")
 
 
-def _with_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    return rows.join(groups, "id", "left").withColumn("g", F.coalesce("component", "id")).drop("component")
+def _named(rows: DataFrame, names: DataFrame, column: str) -> DataFrame:
+    """``rows`` with the component of their id, or the id where it has none."""
+    return rows.join(names.withColumnRenamed("component", column), "id", "left").withColumn(column, F.coalesce(column, "id"))
 
 
-def qualifying(rows: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFrame:
-    """(id, g): documents and other groups whose overlap bound reaches the threshold.
+def units_of(classes: DataFrame, components: DataFrame, clusters: DataFrame) -> DataFrame:
+    """(id, c, g, u): cluster, component and unit.  A unit is what a component has in a cluster, named by its least id."""
+    placed = written(_named(_named(classes.where("n > 0").select("id"), clusters, "c"), components, "g"), "placed")
+    units = placed.groupBy("c", "g").agg(F.min("id").alias("u"))
+    return written(placed.join(units, ["c", "g"]).select("id", "c", "g", "u"), "units")
 
-    ``rows`` are those of `shared_rows`.  Of two groups, the documents of the one with fewer
-    shared tokens (then the greater id) are the queries.  The union is made of the first tokens of
-    the members; up to the least end of their prefixes (``upto``) it is complete.
+
+def clusters_of(classes: DataFrame, rows: DataFrame, wanted: DataFrame, links: DataFrame, groups: DataFrame) -> DataFrame:
+    """(id, component): the cluster of each document.
+
+    Documents that are joined to their pivots (see `pivots`), and those whose first tokens reach the same frequent
+    token, as they have a passage in common; where these are too many to be compared with each
+    other, those joined to their pivots; where these are, those joined strongly; where these are, those that link.
     """
-    placed = written(_with_groups(rows.select("token", "id", "n", "pos"), groups), "placed")
-    facts = _with_groups(classes.where("n > 0").select("id", "n", "last"), groups)
-    group_facts = facts.groupBy("g").agg(
+    near = wanted.select(F.col("id").alias("a"), F.col("g").alias("b"), "strong")
+    reached = rows.where("token < 0").groupBy("id").agg(F.min_by("token", "pos").alias("token"))
+    star = reached.join(reached.groupBy("token").agg(F.min("id").alias("b")), "token").select(F.col("id").alias("a"), "b")
+    joined = near.select("a", "b").unionByName(links)
+    placed = _named(classes.where("n > 0").select("id"), groups, "g")
+    tiers = {"wide": joined.unionByName(star), "weak": joined, "strong": near.where("strong").select("a", "b").unionByName(links)}
+    for name, edges in tiers.items():
+        placed = written(_named(placed, connected_components(edges, name), name), "placed")
+        units = placed.groupBy(name, "g").agg(F.count("*").alias("k")).groupBy(name)
+        sizes = units.agg(((F.sum("k") - F.max("k")) * F.sum("k") <= MAX_COMPARED).alias(f"{name}_fits"))
+        placed = placed.join(sizes, name)
+    chosen = F.coalesce(*(F.when(F.col(f"{name}_fits"), F.col(name)) for name in tiers), "g")
+    return written(placed.select("id", chosen.alias("component")), "clusters")
+
+
+def inside_clusters(docs: DataFrame, units: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """(a, b): links between the units of each cluster, document by document, in bounded parts.
+
+    The members of a cluster are near each other, so no bound would tell them apart, and a join over
+    their tokens would have a row for each two of them and each token.  Those of the largest unit ask nothing.
+    """
+    sizes = units.groupBy("c", "u").agg(F.count("*").alias("k")).groupBy("c").agg(
+        F.max(F.struct("k", "u")).alias("top"), F.count("*").alias("several")
+    )
+    several = units.join(sizes.where("several > 1").select("c", F.col("top.u").alias("largest")), "c")
+    members = several.select("id", F.col("c").alias("g"), F.col("u").alias("label"))
+    return verified(docs, several.where("u <> largest").select("id", F.col("c").alias("g"), F.col("u").alias("label")), members, frequent)
+
+
+def meetings(rows: DataFrame, classes: DataFrame, units: DataFrame) -> DataFrame:
+    """The token-group matrix joined with the documents: a row for each token of a document that a unit has.
+
+    Only units of other clusters and components.  ``rows`` are those of `shared_rows`.  Of two units, the
+    documents of the one with fewer members (then the greater id) are the queries.
+    """
+    placed = written(rows.select("token", "id", "n", "pos").join(units, "id"), "placed-tokens")
+    unit_facts = classes.where("n > 0").select("id", "n", "last").join(units, "id").groupBy("u").agg(
         F.min(_unsigned("last")).alias("upto"), F.min("n").alias("least"), F.max("n").alias("most"), F.count("*").alias("members")
     ).withColumn("upto", _unsigned("upto"))  # the least in the common order, as a token again
-    matrix = placed.select("token", "g").distinct()
+    matrix = placed.select("token", "u", "g", "c").distinct()
     several = matrix.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token")
-    matrix = written(matrix.join(several, "token").join(group_facts, "g"), "matrix")
-    own = matrix.select("token", "g", F.col("members").alias("own_members"))
-    asked = placed.join(own, ["token", "g"]).withColumnRenamed("g", "own")
-    met = asked.join(matrix, "token").where(
-        "g <> own and (members > own_members or (members = own_members and g < own))"
+    matrix = written(matrix.join(several, "token").join(unit_facts, "u"), "matrix")
+    own = matrix.select("token", "u", F.col("members").alias("own_members"))
+    asked = placed.join(own, ["token", "u"]).withColumnsRenamed({"u": "own", "g": "own_g", "c": "own_c"})
+    return asked.join(matrix, "token").where(
+        "g <> own_g and c <> own_c and (members > own_members or (members = own_members and u < own))"
         f" and 100 * most >= {PERCENT} * n and 100 * n >= {PERCENT} * least"
     )
+
+
+def qualifying(rows: DataFrame, classes: DataFrame, units: DataFrame) -> DataFrame:
+    """(id, u): documents and units of `meetings` whose overlap bound reaches the threshold.
+
+    The union is made of the first tokens of the members; up to the least end of their prefixes (``upto``)
+    it is complete.
+    """
     complete = _unsigned("token") <= _unsigned("upto")
-    pairs = met.groupBy("id", "g").agg(
+    pairs = meetings(rows, classes, units).groupBy("id", "u").agg(
         F.count(F.when(complete, 1)).alias("found"), F.max(F.when(complete, F.col("pos"))).alias("pos"),
         F.min("n").alias("n"), F.min("least").alias("least"), F.min("upto").alias("upto"),
     )
@@ -393,10 +457,10 @@ def qualifying(rows: DataFrame, classes: DataFrame, groups: DataFrame) -> DataFr
             upto = batch.column("upto").to_numpy().view(np.uint64)
             upper = [int(np.searchsorted(np.frombuffer(p, dtype=np.uint64), u, side="right")) for p, u in zip(prefixes, upto)]
             good = np.array(upper) - batch.column("found").to_numpy() <= batch.column("spare").to_numpy()
-            yield batch.select(["id", "g"]).filter(pa.array(good))
+            yield batch.select(["id", "u"]).filter(pa.array(good))
 
-    joined = pairs.join(classes.select("id", "prefix"), "id").select("id", "g", "prefix", "upto", "found", "spare")
-    return written(joined.mapInArrow(run, "id long, g long"), "qualifying")
+    joined = pairs.join(classes.select("id", "prefix"), "id").select("id", "u", "prefix", "upto", "found", "spare")
+    return written(joined.mapInArrow(run, "id long, u long"), "qualifying")
 
 
 def link_components(docs: DataFrame) -> DataFrame:
@@ -422,16 +486,21 @@ def linked_rows(docs: DataFrame) -> DataFrame:
     classes = written(grouped, "classes")
     rows = shared_rows(prefix_rows(classes))
 
-    # Groups: documents with their pivot, if the sets link.
+    # Clusters of near documents, and in them what links: with the pivot at first, then all with all.
     central = written(centrality(rows, classes), "central")
-    wanted = pivots(rows, central)
-    links = verified(docs, wanted, wanted.select(F.col("g").alias("id"), "g").distinct(), frequent)
+    wanted = written(pivots(rows, central), "pivots")
+    asked = wanted.select("id", "g")
+    links = verified(docs, asked, asked.select(F.col("g").alias("id"), "g").distinct(), frequent)
+    groups = connected_components(links, "groups")
+    clusters = clusters_of(classes, rows, wanted, links, groups)
+    links = links.unionByName(inside_clusters(docs, units_of(classes, groups, clusters), frequent))
     groups = connected_components(links, "groups")
 
-    # The heads of qualifying groups, until that joins nothing more; then all their members.
+    # The heads of qualifying units, until that joins nothing more; then all their members.
     while True:
-        pairs = qualifying(rows, classes, groups)
-        placed = _with_groups(central, groups)
+        units = units_of(classes, groups, clusters)
+        pairs = qualifying(rows, classes, units).withColumnRenamed("u", "g")
+        placed = central.join(units.select("id", F.col("u").alias("g")), "id")
         top = placed.groupBy("g").agg(F.max(F.struct("central", (-F.col("id")).alias("id"))).alias("top"))
         heads = written(top.join(pairs.select("g").distinct(), "g").select((-F.col("top.id")).alias("id"), "g"), "heads")
         new = verified(docs, pairs, heads, frequent)
@@ -443,7 +512,7 @@ def linked_rows(docs: DataFrame) -> DataFrame:
     new = verified(docs, pairs.join(members.select("g").distinct(), "g", "left_semi"), members, frequent)
     groups = connected_components(links.unionByName(new), "groups")
 
-    named = _with_groups(classes.select("id", "f1", "f2", "n", "least_doc"), groups)
+    named = _named(classes.select("id", "f1", "f2", "n", "least_doc"), groups, "g")
     smallest = named.groupBy("g").agg(F.min("least_doc").alias("component_id"))
     by_set = named.join(smallest, "g").select("f1", "f2", "n", "component_id", F.col("g").alias("component"))
     out = found.select("doc_id", "key", "n", "f1", "f2").join(by_set, ["f1", "f2", "n"], "left")

@@ -241,10 +241,56 @@ def test_group_bound_follows_the_common_order(spark):
     rows = [(k, len(tokens[k]), bytearray(p.tobytes()), int(p[-1:].view(np.int64)[0])) for k, p in firsts.items()]
     classes = spark.createDataFrame(rows, "id long, n long, prefix binary, last long")
     groups = spark.createDataFrame([(1, 1), (2, 1)], "id long, component long")
-    found = jaccard.qualifying(jaccard.shared_rows(jaccard.prefix_rows(classes)), classes, groups)
+    units = jaccard.units_of(classes, groups, groups)
+    found = jaccard.qualifying(jaccard.shared_rows(jaccard.prefix_rows(classes)), classes, units)
     assert {tuple(r) for r in found.collect()} == {(3, 1)}
 
 
+def variants(n, seed=4):
+    """One text with 2 to 13 of 120 words changed: many near misses, some links."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    text = [word() for _ in range(120)]
+    out = []
+    for _ in range(n):
+        mine = list(text)
+        for k in rng.sample(range(120), rng.randrange(2, 14)):
+            mine[k] = word()
+        out.append(" ".join(mine))
+    return out
+
+
+@pytest.mark.parametrize("compared", [2**24, 1500, 0])
+def test_jaccard_near_misses(spark, monkeypatch, compared):
+    """Near misses of one text among others, with parts so small that a cluster takes many; also with finer clusters."""
+    monkeypatch.setattr(jaccard, "MAX_COMPARED", compared)
+    monkeypatch.setattr(jaccard, "PART_MEMBERS", 7)
+    monkeypatch.setattr(jaccard, "PART_QUERIES", 5)
+    rows = [(k, t) for seed in (1, 2, 3) for k, t in enumerate(variants(60, seed), 100 * seed)]
+    got = jaccard.link_components(spark.createDataFrame(rows, DOC)).collect()
+    want = brute_components(rows)
+    assert collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == want
+    assert len({c for _, _, c in want}) > 20
+
+
+def test_jaccard_join_follows_the_documents(spark):
+    """Near misses of one text do not meet in the matrix join, however many they are; in it they would by their square."""
+    def joined(n):
+        texts = [t for seed in range(4) for t in variants(n, seed)]
+        docs = spark.createDataFrame(list(enumerate(texts)), DOC)
+        found = jaccard.signatures(docs, np.array([], dtype=np.uint64))
+        classes = common.written(found.select(F.col("key").alias("id"), "n", "prefix", "last"), "classes")
+        rows = jaccard.shared_rows(jaccard.prefix_rows(classes))
+        wanted = jaccard.pivots(rows, jaccard.centrality(rows, classes))
+        none = spark.createDataFrame([], "a long, b long")
+        alone = spark.createDataFrame([], "id long, component long")
+        clusters = jaccard.clusters_of(classes, rows, wanted, none, alone)
+        return [jaccard.meetings(rows, classes, jaccard.units_of(classes, alone, c)).count() for c in (alone, clusters)]
+
+    (before, small), (before_4, large) = joined(20), joined(80)
+    assert before_4 > 12 * before and large <= 4 * max(small, 100), (before, before_4, small, large)
+
+
 def test_jaccard_empty_and_alone(spark):
     empty = spark.createDataFrame([], DOC)
     assert jaccard.link_components(empty).count() == 0
