@@ -2,14 +2,8 @@
 
 from __future__ import annotations
 
-import pickle
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 MATCHED = "matched"
 TIMED_OUT = "timed_out"
@@ -79,10 +73,12 @@ def matched(
     start of a bucket is also put into the bucket before it, as a possible
     follower.  A key's history is thereby spread over many tasks.
 
-    A stream needs a watermark on ``time``.  There the rows of a key and bucket wait in its state
-    until the watermark has passed them, as an earlier one may still come, and a pair comes
-    out once its second row is passed; see `_ordered_pairs`.
+    A stream needs a watermark on ``time``.  There the rows of a key and two time limits wait in its
+    state, as an earlier one may still come, and a pair comes out once the watermark has
+    passed the end of the slice after its first row; see `_stream_pairs`.
     """
+    if df.isStreaming:
+        return _stream_pairs(df, key, first, follow, within_seconds, time, tie)
     names = df.columns
     width = int(within_seconds) * slices * 1_000_000
     limit = int(within_seconds) * 1_000_000
@@ -98,8 +94,6 @@ def matched(
         home.alias("_home"),
         F.explode(F.when(early, F.array(home, home - 1)).otherwise(F.array(home))).alias("_bucket"),
     )
-    if df.isStreaming:
-        return _stream_pairs(keyed, df.schema, limit, time, tie)
     order = Window.partitionBy("_key", "_bucket").orderBy(time, tie)
     following = F.lead(F.struct(*names, "_follow")).over(order)
     paired = keyed.withColumn("_next", following).where(
@@ -111,55 +105,45 @@ def matched(
     return paired.select(*names, F.col("_next").dropFields("_follow").alias("next"))
 
 
-#: Rows in JSON keep every digit of their times.
-_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
-
+def _stream_pairs(
+    df: DataFrame, key: Column | str, first: Column, follow: Column, within_seconds: int, time: str, tie: str
+) -> DataFrame:
+    """`matched` on a stream: the follower is in the slice of the first event or in the next one, as in `timed_out`.
 
-def _stream_pairs(keyed: DataFrame, schema: T.StructType, limit: int, time: str, tie: str) -> DataFrame:
-    """`matched` over the bucketed rows of a stream; rows pass through the state as text."""
-    events = keyed.select(
-        F.col("_key").cast("string").alias("_key"), "_bucket", time, F.unix_micros(time).alias("at"), F.col(tie).cast("string").alias("tie"),
-        "_first", "_follow", (F.col("_home") == F.col("_bucket")).alias("home"), F.to_json(F.struct(*schema.names), _JSON).alias("text"),
+    The events of a key and two slices wait in the state of an aggregate; only rows that may come out
+    are kept whole.
+    """
+    names, seconds = df.columns, int(within_seconds)
+    events = df.select(
+        "*",
+        (F.col(key) if isinstance(key, str) else key).alias("_key"),
+        F.coalesce(first, F.lit(False)).alias("_first"),
+        F.coalesce(follow, F.lit(False)).alias("_follow"),
+        F.window(time, f"{2 * seconds} seconds", f"{seconds} seconds").alias("_slice"),
+    )
+    # A pair comes out of the window that has its first event in the first half.
+    opens = F.col("_first") & (F.col(time) < F.col("_slice.start") + F.expr(f"INTERVAL {seconds} SECONDS"))
+    event = F.struct(
+        F.unix_micros(time).alias("at"), F.col(tie).alias("tie"), opens.alias("first"), F.col("_follow").alias("follow"),
+        F.when(opens | F.col("_follow"), F.struct(*names)).alias("row"),
     )
-    numbers = isinstance(schema[tie].dataType, T.IntegralType)
-
-    def pairs(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        yield pd.DataFrame(_ordered_pairs(batches, state, limit, numbers), columns=["text", "next"])
-
-    found = events.groupBy("_key", "_bucket").applyInPandasWithState(
-        pairs, "text string, next string", "rows binary", "append", GroupStateTimeout.EventTimeTimeout
+    grouped = events.groupBy("_key", "_slice").agg(F.collect_list(event).alias("_events"))
+    order = F.array_sort(
+        F.transform("_events", lambda e, i: F.struct(e["at"].alias("at"), e["tie"].alias("tie"), i.alias("i"), e["first"].alias("first"), e["follow"].alias("follow")))
     )
-    # A struct that is parsed with nulls allowed everywhere has the type of the columns
-    parsed = found.select(*(F.from_json(c, schema, _JSON).alias(c) for c in ("text", "next")))
-    return parsed.select(*(F.col(f"text.{n}").alias(n) for n in schema.names), "next")
 
+    def pair(a: Column, b: Column) -> Column:
+        matches = a["first"] & b["follow"] & (b["at"] - a["at"] < seconds * 1_000_000)
+        return F.when(matches, F.struct(a["i"].alias("i"), b["i"].alias("j")))
 
-def _ordered_pairs(batches: Iterator[pd.DataFrame], state: GroupState, limit: int, numbers: bool) -> list[tuple[str, str]]:
-    """The pairs that are certain now, of one key and bucket.
+    def pairs(line: Column) -> Column:
+        return F.filter(F.zip_with(line, F.slice(line, 2, F.size(line)), pair), lambda p: p.isNotNull())
 
-    State: the rows that the watermark has not passed, and the last one that it has, if that is a
-    first event whose follower may still come.  A timer at the earliest of them calls this again.
-    Rows: (time in microseconds, tie, home, first, follow, text).
-    """
-    waiting = pickle.loads(state.get[0]) if state.exists else []
-    for batch in batches:
-        ties = batch["tie"].astype("int64") if numbers else batch["tie"]
-        waiting += zip(batch["at"], ties, batch["home"], batch["_first"], batch["_follow"], batch["text"])
-    waiting.sort(key=lambda row: row[:2])
-    passed = 1000 * state.getCurrentWatermarkMs()
-    done = [row for row in waiting if row[0] < passed]
-    rest = waiting[len(done) :]
-    found = [
-        (a[5], b[5]) for a, b in zip(done, done[1:]) if a[2] and a[3] and b[4] and b[0] - a[0] < limit
-    ]
-    last = [row for row in done[-1:] if row[2] and row[3] and row[0] + limit > passed]
-    if kept := last + rest:
-        state.update((pickle.dumps(kept),))
-        due = min([row[0] for row in rest[:1]] + [row[0] + limit for row in last])
-        state.setTimeoutTimestamp(max(due // 1000, passed // 1000) + 1)
-    elif state.exists:
-        state.remove()
-    return found
+    found = F.transform(F.array(order), pairs)[0]  # the order is used twice
+    some = F.exists("_events", lambda e: e["first"]) & (F.size("_events") > 1)
+    rows = grouped.where(some).select("_events", F.explode(found).alias("_pair"))
+    rows = rows.select(*(F.get("_events", F.col(f"_pair.{n}"))["row"].alias(c) for n, c in (("i", "_row"), ("j", "next"))))
+    return rows.select("_row.*", "next")
 
 
 def followed_by(
