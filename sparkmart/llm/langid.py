@@ -161,13 +161,14 @@ def predict(docs: DataFrame, model: LanguageFilter) -> DataFrame:
     return appended(docs, [("lang_pred", "string"), ("score", "double")], compute)
 
 
-def low_scores(docs: DataFrame, model: LanguageFilter, key: str = "doc_id", per_language: int = SAMPLE_PER_LANGUAGE) -> dict[str, float]:
-    """By language, the score that `LOW_SHARE` of its training texts stay below, those taken for another language aside.
+def low_scores(docs: DataFrame, model: LanguageFilter) -> dict[str, float]:
+    """By language, the score that `LOW_SHARE` of all its texts stay below, those taken for another language aside.
 
     Scores compare within a language only: with thousands of letters hardly any n-gram is
     frequent enough for the filter, so that the best texts of such a language score low.
     """
     if not model.languages:
         return {}
-    own = predict(_sample(docs, key, per_language)[1], model).where("lang_pred = lang")
+    known = docs.select("text", "lang").where("text is not null and lang is not null")
+    own = predict(known, model).where("lang_pred = lang")
     return {r["lang"]: r["low"] for r in own.groupBy("lang").agg(F.percentile_approx("score", LOW_SHARE).alias("low")).collect()}
