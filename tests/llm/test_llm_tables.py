@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -424,6 +425,27 @@ def test_language_model_learns_from_all_tokens(spark, monkeypatch):
         assert np.exp(a[h1, w] + b[h2, w] - sums[h1, h2]) > 0.5
 
 
+def test_places_alike_are_learned_together():
+    """All places count, but equal ones take a share of the examples."""
+    words = [chr(97 + i) for i in range(10)]
+    v = neural_lm.Vocabulary("x", words, np.full(10, 4000), 10, 44_000, 11, 4000)
+    rng = np.random.default_rng(1)
+    stream, at = neural_lm.stream_of(v, [np.append(rng.integers(0, 10, 10), v.end) for _ in range(4000)])
+    w, h1, h2, weight = neural_lm.examples(v, stream, at)
+    want = collections.Counter(zip(stream[at].tolist(), stream[at - 1].tolist(), stream[at - 2].tolist()))
+    got = collections.Counter()
+    for *key, n in zip(w.tolist(), h1.tolist(), h2.tolist(), weight.tolist()):
+        got[tuple(key)] += n
+    assert got.keys() == want.keys() and all(math.isclose(got[x], want[x], rel_tol=1e-5) for x in want)
+    assert weight.max() <= neural_lm.MOST_ALIKE and len(w) < 0.4 * len(at)
+
+
+def test_words_are_cut_as_bytes():
+    odd = ["", None, "A b", "É É\x85é\xa0a\u2003B", "\x1c\x1d x\x1ey\x1f", "\tA\n\x0b\x0c\rZ@[`{ ", "ſK İI", "a\x00b 😀C"]
+    got = [[w.decode() for w in words] for words in common.lower_words(pa.array(odd, pa.string()))]
+    assert got == [neural_lm.tokens_of(t) for t in odd]
+
+
 def test_language_model_without_training(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], DOC)
     model, counts = neural_lm.train(docs.limit(0))
