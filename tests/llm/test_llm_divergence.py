@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import compare
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparkmart.llm import oracle, queries, source_divergence
@@ -104,3 +105,12 @@ def test_equal_pairs_are_priced_once():
 def test_large_counts_are_exact():
     c = 3 * 10**13
     assert source_divergence.probabilities(np.array([c]), 2 * c, 7)[0] == 1 + 10**9 * (c + 5) // (2 * c + 35)
+
+
+def test_terms_are_cut_as_bytes():
+    odd = "".join(map(chr, range(1, 128))) + " É\x85é\xa0ß\u2003x ſK 😀Z_a-b"
+    want = [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in re.findall(source_divergence.TERM, odd)]
+    batch = pa.record_batch([pa.array(c, pa.string()) for c in ([odd, "", "b A a"], ["x"] * 3, ["y"] * 3)], names=["text", "lang", "source"])
+    rows = pa.Table.from_batches(source_divergence._counted(iter([batch]))).to_pylist()
+    want, docs = Counter(want + ["b", "a", "a"]), Counter([*set(want), "a", "b"])
+    assert {(r["term"], r["n"], r["docs"]) for r in rows} == {("", 0, 0), *((t, want[t], docs[t]) for t in want)}
