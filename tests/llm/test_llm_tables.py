@@ -431,13 +431,13 @@ def test_places_alike_are_learned_together():
     v = neural_lm.Vocabulary("x", words, np.full(10, 4000), 10, 44_000, 11, 4000)
     rng = np.random.default_rng(1)
     stream, at = neural_lm.stream_of(v, [np.append(rng.integers(0, 10, 10), v.end) for _ in range(4000)])
-    w, h1, h2, weight = neural_lm.examples(v, stream, at)
+    w, h1, h2, weight = neural_lm.examples(v, stream, at, 4)
     want = collections.Counter(zip(stream[at].tolist(), stream[at - 1].tolist(), stream[at - 2].tolist()))
     got = collections.Counter()
     for *key, n in zip(w.tolist(), h1.tolist(), h2.tolist(), weight.tolist()):
         got[tuple(key)] += n
     assert got.keys() == want.keys() and all(math.isclose(got[x], want[x], rel_tol=1e-5) for x in want)
-    assert weight.max() <= neural_lm.MOST_ALIKE and len(w) < 0.4 * len(at)
+    assert weight.max() <= 4 and len(w) < 0.4 * len(at)
 
 
 def test_words_are_cut_as_bytes():
@@ -446,6 +446,19 @@ def test_words_are_cut_as_bytes():
     assert got == [neural_lm.tokens_of(t) for t in odd]
 
 
+def test_grouped_places_teach_the_same():
+    """Contexts that a batch computes once, and places learned as one, lead to what single places lead to."""
+    words = [chr(97 + i) for i in range(10)]
+    v = neural_lm.Vocabulary("x", words, np.full(10, 4000), 10, 44_000, 11, 4000)
+    texts = [np.append(np.roll(np.arange(10), i % 10), v.end) for i in range(4000)]
+    for most in (1, 4):
+        stream, at = neural_lm.stream_of(v, texts)
+        parameters = neural_lm.beginning(v)
+        neural_lm.learn(v, parameters, stream, at, np.random.default_rng(1), most)
+        a, b, sums = neural_lm.model_of(v, parameters).tables()
+        assert all(np.exp(a[i + 1, i + 2] + b[i, i + 2] - sums[i + 1, i]) > 0.5 for i in range(8))
+
+
 def test_language_model_without_training(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], DOC)
     model, counts = neural_lm.train(docs.limit(0))
