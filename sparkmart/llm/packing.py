@@ -9,6 +9,7 @@ are then numbered within their length, in shards, and look up their place in the
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -33,6 +34,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids binary"
 # that follows; so a text may be cut before every run of spaces and between a letter and a mark,
 # and the ids of parts seen before are looked up.
 _parts = re.compile(r"[ \n]*+[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[.,!?;:|&%$#*])|[ \n]*+[^ \n]++|[ \n]+").findall
+_letters = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 _other_space = re.compile(r"[^\S \n]").search
 #: Parts remembered in each of two generations, and the length of the longest.
 CACHED, CACHED_LENGTH = 250_000, 64
@@ -58,19 +60,41 @@ class Encoder:
         ids = self.tokenizer.encode_batch_fast([JOINT], add_special_tokens=False)[0].ids
         self.joint, piece = ids[0], self.tokenizer.id_to_token(ids[0])
         self.joins = len(ids) == 1 and all(set(x) == {piece} for x in self.tokenizer.get_vocab() if piece in x)
+        self.in_bytes = self._letters_in_bytes(path)
+
+    def _letters_in_bytes(self, path: str) -> dict[int, str] | None:
+        """What the model reads for a space and for each letter; None if it may read letters in another way."""
+        from tokenizers import pre_tokenizers
+
+        with open(path, encoding="utf-8") as f:
+            stated = json.load(f)
+        cut = stated.get("pre_tokenizer") or {}
+        if any(_letters(t.content.strip()) for t in self.tokenizer.get_added_tokens_decoder().values()):
+            return None
+        if stated.get("normalizer") or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+            return None
+        read = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        return {c: read(chr(c))[0][0] for c in range(256) if c == 32 or _letters(chr(c))}
+
+    def _words(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of letters with at most a space before them: one word to the model, so that nothing has to look where words end."""
+        tokenize, table = self.tokenizer.model.tokenize, self.in_bytes
+        return {x: array("I", [t.id for t in tokenize(x.translate(table))]).tobytes() for x in parts}
 
     def _each(self, parts: list[str]) -> dict[str, bytes]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return {part: array("I", e.ids).tobytes() for part, e in zip(parts, found)}
 
     def fresh(self, parts: list[str]) -> dict[str, bytes]:
-        """Ids of parts, many at once: joined by a character whose id shows where each ends."""
+        """Ids of parts: of words one by one, of others many at once, joined by a character whose id shows where each ends."""
+        words = list(filter(_letters, parts)) if self.in_bytes else []
+        out, parts = self._words(words), list(set(parts).difference(words))
         if not self.joins:
-            return self._each(parts)
+            return out | self._each(parts)
         # A space at the end, or a quote at the beginning that may be a contraction's, has to stand alone.
         alone = [x for x in parts if JOINT in x or x[0] == "'" or x[-1].isspace() or self.special(x)]
         together = list(set(parts).difference(alone))
-        out = self._each(alone)
+        out |= self._each(alone)
         for at in range(0, len(together), 2000):
             some = together[at : at + 2000]
             ids = np.array(self.tokenizer.encode_batch_fast([JOINT.join(some)], add_special_tokens=False)[0].ids, dtype=np.uint32)
@@ -94,7 +118,7 @@ class Encoder:
         cut = [[t] if _other_space(t) or self.special(t) else _parts(t) for t in texts]
         known = self.known
         missing = set(chain.from_iterable(cut)).difference(known)
-        old = {x: self.older[x] for x in missing.intersection(self.older)}
+        old = {x: ids for x in missing if (ids := self.older.get(x)) is not None}
         new = self.fresh(list(missing.difference(old)))
         known |= old
         known |= new

@@ -43,6 +43,17 @@ def test_ids_are_the_tokenizers_own():
     assert got == want
 
 
+def test_words_go_to_the_model_alone():
+    """Letters are encoded without the pattern that looks for words, to the same ids."""
+    encoder = packing.Encoder(BPE)
+    want = encoder.tokenizer
+    words = ["the", " the", " Über", "éÿÀ", " a", " ſ", "ª", " 12", "don't", " x,", "'s"]
+    ids = {x: np.array(want.encode(x, add_special_tokens=False).ids, dtype=np.uint32).tobytes() for x in words}
+    assert encoder.fresh(words) == ids
+    encoder.tokenizer = type("OnlyModel", (), {"model": want.model, "encode_batch_fast": staticmethod(lambda parts, **_: [] if not parts else 1 / 0)})
+    assert encoder.fresh(words[:5]) == {x: ids[x] for x in words[:5]}
+
+
 def test_largest_counts(spark):
     def kept(counts, limit):
         df = spark.createDataFrame([(f"w{i:03}", n) for i, n in enumerate(counts)], "word string, n long")
