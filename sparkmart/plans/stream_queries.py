@@ -41,14 +41,15 @@ DAY = 86_400_000
 
 
 # Bytes of tables at rest whose messages are replayed as one batch, and which the state of a join therefore holds.
-SLICE_BYTES = 128 * 2**20
+SLICE_BYTES = 64 * 2**20
 # Wide facts of a replay are out of order by the interval between order and detail, and that of a payment.
 WIDE_LATE_SECONDS = 2 * ORDER_DETAIL_SECONDS + 2 * 3600
 
 
 def _warehouse(fx: Fixtures, in_slices: bool = False) -> jobs.Warehouse:
-    """Its state has as many partitions as a batch asks for: all events, or a slice of all tables."""
-    session = streaming_session(fx.spark, tasks_for(fx.spark, SLICE_BYTES if in_slices else fx.bytes_of("events")))
+    """Its state has as many partitions as a batch asks for: all events, or a slice of all tables, whose state fits the heap."""
+    size = SLICE_BYTES if in_slices else fx.bytes_of("events")
+    session = streaming_session(fx.spark, tasks_for(fx.spark, size), heap_state=in_slices)
     return jobs.Warehouse(session, f"{shared_dir(fx.spark)}/{uuid.uuid4().hex}", trigger={"availableNow": True})
 
 

@@ -19,6 +19,9 @@ from sparkmart.sources.files import exists, list_names, make_dir, rename
 BATCH = "batch"
 BUCKET = "bucket"
 
+# Bytes of a row group, before compression: what a writer holds, and the least that one task of a reader takes.
+ROW_GROUP = {"parquet.block.size": str(16 * 2**20)}
+
 
 def publish_batch(df: DataFrame, root: str, batch_id: int, partition_by: Sequence[str] = ()) -> bool:
     """Write ``df`` as batch ``batch_id`` under ``root``; False if it is already there."""
@@ -27,14 +30,14 @@ def publish_batch(df: DataFrame, root: str, batch_id: int, partition_by: Sequenc
     if exists(spark, final):
         return False
     staging = f"{root}/_staging/{BATCH}={batch_id}"
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(staging)
+    df.write.mode("overwrite").options(**ROW_GROUP).partitionBy(*partition_by).parquet(staging)
     rename(spark, staging, final)
     return True
 
 
 def stage_batches(df: DataFrame, root: str, partition_by: Sequence[str] = ()) -> None:
     """Write the batches that the column ``batch`` names in one pass; `publish_staged` lets them appear one by one."""
-    df.write.mode("overwrite").partitionBy(BATCH, *partition_by).parquet(f"{root}/_staging")
+    df.write.mode("overwrite").options(**ROW_GROUP).partitionBy(BATCH, *partition_by).parquet(f"{root}/_staging")
 
 
 def publish_staged(spark: SparkSession, root: str, batch_id: int) -> bool:

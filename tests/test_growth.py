@@ -4,6 +4,7 @@ import os
 import random
 import sys
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import SF_DIR, log
 from pyspark.sql import functions as F
@@ -57,6 +58,33 @@ def test_a_replay_in_slices_equals_sql(spark, monkeypatch, name):
         assert 0 < state.count() < Fixtures(spark, SF_DIR).details().count() / 2
 
 
+def test_the_state_of_a_slice_is_in_the_heap(spark):
+    fx = Fixtures(spark, SF_DIR)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    assert "HDFSBacked" in stream_queries._warehouse(fx, in_slices=True).spark.conf.get(provider)
+    assert "RocksDB" in stream_queries._warehouse(fx).spark.conf.get(provider)
+
+
+def test_a_batch_without_rows_looks_nothing_up(spark, folder, monkeypatch):
+    def fail(wh):
+        raise AssertionError("looked up")
+
+    wh = jobs.Warehouse(spark, folder)
+    typed = wh.dimensions(spark.sql("SELECT 1L AS user_id, 2L AS sku_id"))
+    monkeypatch.setattr(jobs.Warehouse, "dims", property(fail))
+    empty = wh.dimensions(spark.sql("SELECT 1L AS user_id, 2L AS sku_id").where("false"))
+    for name, dim in empty._asdict().items():
+        assert dim.dtypes == getattr(typed, name).dtypes and dim.count() == 0
+
+
+def test_topics_are_read_in_small_parts(spark, folder):
+    wh = jobs.Warehouse(spark, folder)
+    text = F.sha2(F.col("id").cast("string"), 512)
+    wh.topics.publish(spark.range(400_000).coalesce(1).select(F.lit("t").alias("topic"), text.alias("value")), "t", 0)
+    found = [f for f in os.listdir(f"{folder}/topics/t/batch=0/topic=t") if f.endswith(".parquet")]
+    assert pq.ParquetFile(f"{folder}/topics/t/batch=0/topic=t/{found[0]}").num_row_groups > 2
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_matched_pairs_of_a_stream(spark, folder, seed):
     """Rows out of order, over several batches, against the same rows as a table."""
