@@ -451,6 +451,29 @@ def test_places_alike_are_learned_together():
     assert weight.max() <= 4 and len(w) < 0.4 * len(at)
 
 
+def test_tasks_learn_from_every_place(spark, monkeypatch):
+    """Texts that say the same words again, dealt to two tasks a round: the mean of what single places teach."""
+    monkeypatch.setattr(neural_lm, "TASK_TOKENS", 2_000)
+    rng = np.random.default_rng(8)
+    v = neural_lm.Vocabulary("x", [f"w{i}" for i in range(6)], np.full(6, 2200), 6, 15_000, 7, 1200)
+    texts = [np.append(rng.integers(0, 6, 11), v.end).astype(np.int16) for _ in range(1200)]
+    ids = spark.createDataFrame([(i, bytearray(t.tobytes())) for i, t in enumerate(texts)], "id long, ids binary")
+    got = neural_lm.refined(v, neural_lm.beginning(v), ids)
+    want = neural_lm.beginning(v)
+    for number in range(neural_lm.ROUNDS):
+        own = ids.where(F.pmod(F.xxhash64("id", "ids"), F.lit(neural_lm.ROUNDS)) == number)
+        dealt = own.repartition(2, "id", "ids").sortWithinPartitions("id", "ids").select("ids", F.spark_partition_id().alias("task")).collect()
+        found = []
+        for task in range(2):
+            mine = [np.frombuffer(r["ids"], dtype=np.int16).astype(np.int64) for r in dealt if r["task"] == task]
+            parameters = [x.copy() for x in want]
+            stream, at = neural_lm.stream_of(v, mine)
+            neural_lm.learn(v, parameters, stream, at, np.random.default_rng([number, task]))
+            found.append((len(at), parameters))
+        want = [sum(n * x for n, x in same) / sum(n for n, _ in same) for same in zip(*[[(n, x) for x in p] for n, p in found])]
+    assert all(np.allclose(x, y, rtol=1e-3, atol=1e-3) for x, y in zip(got, want))
+
+
 def test_words_are_cut_as_bytes():
     odd = ["", None, "A b", "É É\x85é\xa0a\u2003B", "\x1c\x1d x\x1ey\x1f", "\tA\n\x0b\x0c\rZ@[`{ ", "ſK İI", "a\x00b 😀C"]
     got = [[w.decode() for w in words] for words in common.lower_words(pa.array(odd, pa.string()))]
