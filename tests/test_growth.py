@@ -65,6 +65,12 @@ def test_the_state_of_a_slice_is_in_the_heap(spark):
     assert "RocksDB" in stream_queries._warehouse(fx).spark.conf.get(provider)
 
 
+@pytest.mark.parametrize("in_slices", [False, True])
+def test_a_task_of_a_stream_reads_little(spark, in_slices):
+    session = stream_queries._warehouse(Fixtures(spark, SF_DIR), in_slices).spark
+    assert session.conf.get("spark.sql.files.maxPartitionBytes") == "16m"
+
+
 def test_a_batch_without_rows_looks_nothing_up(spark, folder, monkeypatch):
     def fail(wh):
         raise AssertionError("looked up")
